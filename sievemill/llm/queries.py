@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sievemill.llm.minhash_dedup import op7_minhash_near_dedup
+from sievemill.llm.sentencepiece_codec import op8_sentencepiece
 from sievemill.llm.session import with_checkpoints
 from sievemill.llm.substring_dedup import op3_substring_dedup
 
-_QUERIES = [op3_substring_dedup, op7_minhash_near_dedup]
+_QUERIES = [op3_substring_dedup, op7_minhash_near_dedup, op8_sentencepiece]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
