@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sievemill.llm.quality import op1_quality_classifier
+from sievemill.llm.licences import op10_license_scan
 from sievemill.llm.minhash_dedup import op7_minhash_near_dedup
 from sievemill.llm.sentencepiece_codec import op8_sentencepiece
 from sievemill.llm.session import with_checkpoints
 from sievemill.llm.substring_dedup import op3_substring_dedup
 
-_QUERIES = [op1_quality_classifier, op3_substring_dedup, op7_minhash_near_dedup, op8_sentencepiece]
+_QUERIES = [op1_quality_classifier, op3_substring_dedup, op7_minhash_near_dedup, op8_sentencepiece, op10_license_scan]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
