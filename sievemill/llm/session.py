@@ -6,10 +6,12 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+from sievemill.session import ship
+
 
 def with_checkpoints(spark: SparkSession) -> SparkSession:
     """Takes the shared folder of spark.checkpoint.dir; only where none is set (local runs), one of this machine."""
-    sc = spark.sparkContext
+    sc = ship(spark).sparkContext
     if sc.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
         if where is None:
