@@ -7,14 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sievemill.llm.quality import op1_quality_classifier
+from sievemill.llm.embedding_dedup import op4_embedding_near_dedup
 from sievemill.llm.licences import op10_license_scan
 from sievemill.llm.main_text import op2_html_extraction
 from sievemill.llm.minhash_dedup import op7_minhash_near_dedup
 from sievemill.llm.sentencepiece_codec import op8_sentencepiece
 from sievemill.llm.session import with_checkpoints
 from sievemill.llm.substring_dedup import op3_substring_dedup
+from sievemill.llm.url_rules import op6_url_filters
 
-_QUERIES = [op1_quality_classifier, op2_html_extraction, op3_substring_dedup, op7_minhash_near_dedup, op8_sentencepiece, op10_license_scan]
+_QUERIES = [op1_quality_classifier, op2_html_extraction, op3_substring_dedup, op4_embedding_near_dedup, op6_url_filters, op7_minhash_near_dedup, op8_sentencepiece, op10_license_scan]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
