@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sievemill.llm.ann import op9_approximate_nearest_neighbours
 from sievemill.llm.quality import op1_quality_classifier
 from sievemill.llm.embedding_dedup import op4_embedding_near_dedup
 from sievemill.llm.licences import op10_license_scan
@@ -16,7 +17,17 @@ from sievemill.llm.session import with_checkpoints
 from sievemill.llm.substring_dedup import op3_substring_dedup
 from sievemill.llm.url_rules import op6_url_filters
 
-_QUERIES = [op1_quality_classifier, op2_html_extraction, op3_substring_dedup, op4_embedding_near_dedup, op6_url_filters, op7_minhash_near_dedup, op8_sentencepiece, op10_license_scan]
+_QUERIES = [
+    op1_quality_classifier,
+    op2_html_extraction,
+    op3_substring_dedup,
+    op4_embedding_near_dedup,
+    op6_url_filters,
+    op7_minhash_near_dedup,
+    op8_sentencepiece,
+    op9_approximate_nearest_neighbours,
+    op10_license_scan,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
