@@ -220,10 +220,10 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     blocks = F.lit(1)
     for p, n in sizes.items():
         blocks = F.when(F.col("part") == p, -(-n // BLOCK)).otherwise(blocks)
-    numbers = lambda n: F.sequence(F.lit(0), n - 1)
-    data = placed.select("id", "v", "part", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), F.explode(numbers(F.lit(query_blocks))).alias("turn"), F.lit(False).alias("asks"))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
+    data = placed.select("id", "v", "part", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), numbers(F.lit(query_blocks)).alias("turn"), F.lit(False).alias("asks"))
     queries = asked.select("id", "v").mapInArrow(place(router.probes), kind).select("id", "v", F.explode("parts").alias("part"))
-    queries = queries.select("id", "v", "part", F.explode(numbers(blocks)).cast("int").alias("block"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("turn"), F.lit(True).alias("asks"))
+    queries = queries.select("id", "v", "part", numbers(blocks).alias("block"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("turn"), F.lit(True).alias("asks"))
     found = data.union(queries).groupBy("part", "block", "turn").applyInArrow(_top(k), schema)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
