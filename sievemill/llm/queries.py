@@ -12,6 +12,7 @@ from sievemill.llm.embedding_dedup import op4_embedding_near_dedup
 from sievemill.llm.licences import op10_license_scan
 from sievemill.llm.main_text import op2_html_extraction
 from sievemill.llm.minhash_dedup import op7_minhash_near_dedup
+from sievemill.llm.mixing import op5_temperature_mixing
 from sievemill.llm.sentencepiece_codec import op8_sentencepiece
 from sievemill.llm.session import with_checkpoints
 from sievemill.llm.substring_dedup import op3_substring_dedup
@@ -22,6 +23,7 @@ _QUERIES = [
     op2_html_extraction,
     op3_substring_dedup,
     op4_embedding_near_dedup,
+    op5_temperature_mixing,
     op6_url_filters,
     op7_minhash_near_dedup,
     op8_sentencepiece,
