@@ -17,17 +17,18 @@ The union of both is exactly the set of repeated windows; its maximal intervals
 
 Null texts have no words. Rows that repeat an id with the same text are one document and get the same
 result; rows with one id and different texts are different documents, ordered by a hash of the text. A
-null id sorts first. An empty table gives an empty result. Extra columns are left out.
+null id sorts first. An empty table gives an empty result. Extra columns are left out unless they are carried.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sievemill.llm import textbytes as tb
 
@@ -206,25 +207,24 @@ def _cut(window: int, one_space: bool):
             data = np.concatenate([b for b, _ in kept]) if kept else np.zeros(0, np.uint8)
             text = pa.Array.from_buffers(pa.large_string(), len(batch), [None, pa.py_buffer(limits.astype(np.int64)), pa.py_buffer(data)]).cast(pa.string())
             number = lambda xs: pa.array(np.concatenate(xs).astype(np.int64) if xs else [], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), number(n_words), number(n_removed), text], ["id", "x", "n_words", "n_removed", "kept"])
+            rest = [n for n in batch.schema.names if n.startswith("carried ")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), number(n_words), number(n_removed), text, *map(batch.column, rest)], ["id", "x", "n_words", "n_removed", "kept", *rest])
 
     return run
 
 
-def text_hash(text: str | Column) -> Column:
-    return F.hash(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
-
-
-def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, one_space: bool = True) -> DataFrame:
-    """One row per input row: the id, x int (hash of the text), n_words long, n_removed long and kept string.
+def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, one_space: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+    """One row per input row: the id, x int (hash of the text), n_words long, n_removed long, kept string, carried columns.
 
     one_space: kept words joined by one space; else the original separators stay between kept words.
     window: 9 to 22 words, so that a run holds 15 windows at most.
+    carry: further columns to return as they are.
     """
     if not ANCHOR_WORDS < window <= ANCHOR_WORDS + 14:
         raise ValueError(f"window must be {ANCHOR_WORDS + 1} to {ANCHOR_WORDS + 14} words")
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("x", F.hash("text"))
-    runs = docs.mapInArrow(_runs(window), _RUNS)
+    carried = [F.col(c).alias(f"carried {i}") for i, c in enumerate(carry)]
+    whole = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried).withColumn("x", F.hash("text"))
+    runs = whole.select("id", "text", "x").mapInArrow(_runs(window), _RUNS)
     anchor = Window.partitionBy("h")
     content = Window.partitionBy("h", "r").orderBy(F.asc_nulls_first("id"), "x", "s")
     flagged = (
@@ -235,21 +235,24 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
     code = F.col("s").cast("long") * 32 + F.abs("m") * 2 + F.when(F.col("repeated"), 0).otherwise(1)
     spans = flagged.groupBy("id", "x").agg(F.collect_list(code).alias("spans"), F.max(~F.col("repeated")).alias("edge")).checkpoint()
-    same = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["x"] == b["x"])
-    keyed = docs.repartition("id", "x")  # one exchange of the texts for both joins
+    # Both joins take all columns of the texts' side, so that Spark shuffles it once and reads that exchange twice
+    names = whole.columns
     edges = spans.filter("edge").select(F.col("id").alias("i"), F.col("x").alias("j"), "spans")
-    windows = keyed.join(edges, F.col("id").eqNullSafe(F.col("i")) & (F.col("x") == F.col("j"))).select("id", "x", "text", "spans").mapInArrow(_windows(window), _WINDOWS)
+    windows = whole.join(edges, F.col("id").eqNullSafe(F.col("i")) & (F.col("x") == F.col("j"))).select(*names, "spans").mapInArrow(_windows(window), _WINDOWS)
     place = Window.partitionBy("w1", "w2").orderBy(F.asc_nulls_first("id"), "x", "s")
     late = windows.withColumn("n", F.row_number().over(place)).filter("seen or n > 1").groupBy("id", "x").agg(F.collect_set(F.col("s").cast("long")).alias("late"))
     late = late.select(F.col("id").alias("i2"), F.col("x").alias("j2"), "late")
     spans = spans.select(F.col("id").alias("i"), F.col("x").alias("j"), "spans")
     joined = (
-        keyed.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("x") == F.col("j")), "left")
+        whole.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("x") == F.col("j")), "left")
         .join(late, F.col("id").eqNullSafe(F.col("i2")) & (F.col("x") == F.col("j2")), "left")
-        .select("id", "x", "text", "spans", "late")
+        .select(*names, "spans", "late")
     )
-    out = joined.mapInArrow(_cut(window, one_space), "id long, x int, n_words long, n_removed long, kept string")
-    return out.withColumnRenamed("id", id_col)
+    kept = [T.StructField("id", T.LongType()), T.StructField("x", T.IntegerType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
+    schema = T.StructType([*kept, *(f for f in whole.schema.fields if f.name.startswith("carried "))])
+    out = joined.mapInArrow(_cut(window, one_space), schema)
+    own = [F.col("id").alias(id_col), *(c for c in ("x", "n_words", "n_removed", "kept") if c not in carry)]
+    return out.select(*own, *(F.col(f"carried {i}").alias(c) for i, c in enumerate(carry)))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:
