@@ -14,12 +14,15 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component): for each node with an edge to another, the smallest node that it reaches."""
+def components(edges: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
+    """(node, component): for each node with an edge to another, the smallest node that it reaches.
+
+    rounds: stop after so many; a component may then still be in parts, each named by one of its nodes.
+    """
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u != v").distinct().checkpoint()
-    before = None
-    while (now := _state(e)) != before:
-        before = now
+    before, turn = None, 0
+    while turn < rounds if rounds else (now := _state(e)) != before:
+        before, turn = None if rounds else now, turn + 1
         both = e.union(e.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").filter("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -28,4 +31,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
         small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
         e = small.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    if rounds:
+        stars = stars.groupBy("node").agg(F.min("component").alias("component"))
+        return stars.union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()).groupBy("node").agg(F.min("component").alias("component"))
     return stars.union(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

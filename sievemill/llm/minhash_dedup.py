@@ -9,10 +9,11 @@ sequence is one shingle; without words the set is empty and links with nothing.
    probability 5e-6; documents of one group usually share many more pairs.
 2. Equal sets (128-bit fingerprint of all hashes) become one class, represented by its smallest id, before
    anything is joined. Copies are linked with similarity 1 and never paired.
-3. Within each bucket, members are compared with the bucket's first member, then, in later rounds, with its
-   next ones, but only while they are in different components. A pair inside one component cannot change the
-   result. Each round's number of pairs is bounded by the size of the buckets, and every pair of a bucket
-   is either compared or known to be connected: nothing is capped.
+3. Each bucket's members are first compared with its smallest id. Buckets that then hold one component are
+   done, as a pair inside one component cannot change the result. The others are dealt into blocks of bounded
+   size, and every two blocks of a bucket that hold more than one component form a group. In it, members of different
+   components are compared, each pair in the first band that it shares only; a group returns at most one link
+   for each member. Sets come without the shingles that no other open document holds. Nothing is capped.
 4. Pairs are confirmed on full sets: 100 * |A & B| >= threshold * |A | B|.
 
 Null ids take part as documents of their own, linked with nothing. Rows that share an id are one node: they
@@ -32,8 +33,8 @@ from pyspark.sql import functions as F
 from sievemill.llm import textbytes as tb
 from sievemill.llm.components import components
 
-#: Pairs compared in a round, as a multiple of the rows that are still in open buckets.
-PAIRS_PER_ROW = 4
+#: Shingles of a block of bucket members, about.
+BLOCK_SHINGLES = 1_500_000
 
 _U32 = np.uint32
 
@@ -118,6 +119,21 @@ def _full_sets(k: int):
     return run
 
 
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each shingle of a set with the set's id."""
+    for batch in batches:
+        sets = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column("members")]
+        at, total = 0, 0
+        for i, x in enumerate([*sets, None]):
+            if x is not None:
+                total += len(x)
+            if total and (x is None or total > 1 << 18):
+                part = sets[at : i + 1]
+                ids = batch.column("id").take(pa.array(np.repeat(np.arange(at, at + len(part)), [len(y) for y in part])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), ids], ["shingle", "id"])
+                at, total = i + 1, 0
+
+
 def _confirm(threshold: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,6 +151,64 @@ def _confirm(threshold: int):
     return run
 
 
+def _without_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets without the shingles that no other open document holds."""
+    for batch in batches:
+        got = []
+        for v, own in zip(batch.column("members"), batch.column("own"), strict=True):
+            x = np.frombuffer(v.as_buffer(), np.int64)
+            got.append((x if own.values is None else x[~np.isin(x, own.values.to_numpy(zero_copy_only=False))]).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("keys"), pa.array(got, pa.binary())], ["id", "keys", "members"])
+
+
+def _compare(threshold: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        band_key, first, second = (k.as_py() for k in key)
+        block, ids, n, component = (table.column(c).to_numpy() for c in ("block", "id", "n", "component"))
+        keys = np.array(table.column("keys").to_pylist(), np.int64).reshape(len(ids), -1)
+        sets = [np.frombuffer(v.as_buffer(), np.int64) for v in table.column("members")]
+        size = np.array([len(x) for x in sets])
+        start = np.cumsum(size) - size
+        names, dense = np.unique(np.concatenate(sets), return_inverse=True)
+        band = int((keys[0] == band_key).argmax())
+        parent = {int(c): int(c) for c in component}
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+
+        now = component.copy()
+        held = np.zeros(len(names) + 1, bool)
+        low, high = np.flatnonzero(block == first), np.flatnonzero(block == second)
+        a, b = [], []
+        for k, i in enumerate(low):
+            other = high if first != second else low[k + 1 :]
+            other = other[now[other] != now[i]]
+            common = np.minimum(size[other], size[i])
+            other = other[100 * common >= threshold * (n[other] + n[i] - common)]
+            other = other[(keys[other] == keys[i]).argmax(1) == band]
+            if not len(other):
+                continue
+            mine = dense[start[i] : start[i] + size[i]]
+            held[mine] = True
+            m = size[other]
+            at = np.arange(m.sum()) + np.repeat(start[other] - (np.cumsum(m) - m), m)
+            both = np.add.reduceat(np.append(held[dense[at]], False).astype(np.int64), np.cumsum(m) - m) * (m > 0)
+            held[mine] = False
+            for j in other[100 * both >= threshold * (n[other] + n[i] - both)]:
+                x, y = root(int(component[i])), root(int(component[j]))
+                if x != y:
+                    parent[max(x, y)] = min(x, y)
+                    now[now == max(x, y)] = min(x, y)
+                    a.append(int(ids[i])), b.append(int(ids[j]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
     """One row per input row: the id, n_shingles long, component_id long, kept boolean.
 
@@ -148,65 +222,41 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     rep = known.join(classes.select("print", F.col("rep").alias("id")), ["print", "id"], "left_semi")
     buckets = rep.select("id", "n", F.explode("keys").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high").select("key")
-    order = Window.partitionBy("key").orderBy("id")
-    members = buckets.join(shared, "key").distinct().withColumn("rank", F.row_number().over(order)).checkpoint()
-
+    shared = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lead"), F.max("id").alias("last")).filter("lead.id < last").select("key", "lead")
+    members = buckets.join(shared, "key").checkpoint()
     ids = members.select("id").distinct()
     sets = docs.join(ids, "id", "left_semi").mapInArrow(_full_sets(shingle), "id long, members binary").checkpoint()
-    links, done = None, 0
-    label = ids.select(F.col("id").alias("node"), F.col("id").alias("component"))
-    open_rows = members.join(label, members["id"] == label["node"]).drop("node")
-    while True:
-        split = open_rows.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("rank").alias("size")).filter(f"low < high and size > {done + 1}").select("key")
-        open_rows = open_rows.join(split, "key").checkpoint()
-        left = open_rows.count()
-        if not left:
-            break
-        # as many leaders of each bucket as keep this round's pairs in proportion to the rows
-        largest = open_rows.agg(F.max("rank")).first()[0]
-        step = 1 if done == 0 else _step(open_rows, done, PAIRS_PER_ROW * left, largest)
-        lead = open_rows.filter(f"rank > {done} and rank <= {done + step}").select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"))
-        pairs = (
-            open_rows.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
-            .join(lead, "key")
-            .filter("rb > ra and ca != cb and a != b")
-            .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * threshold)
-            .select("a", "b")
-            .distinct()
-        )
-        one = sets.select(F.col("id").alias("a"), F.col("members").alias("one"))
-        two = sets.select(F.col("id").alias("b"), F.col("members").alias("two"))
-        found = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_confirm(threshold), "a long, b long").checkpoint()
-        links = found if links is None else links.union(found)
-        done += step
-        if done >= largest:
-            break
-        label = components(links, "a", "b")
-        new = label.select(F.col("node").alias("id"), F.col("component").alias("c"))
-        open_rows = open_rows.join(new, "id", "left").withColumn("component", F.coalesce("c", "component")).drop("c").select("key", "id", "n", "rank", "component")
+
+    led = members.filter("id != lead.id").filter(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * threshold)
+    pairs = led.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
+    one = sets.select(F.col("id").alias("a"), F.col("members").alias("one"))
+    two = sets.select(F.col("id").alias("b"), F.col("members").alias("two"))
+    links = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_confirm(threshold), "a long, b long").checkpoint()
+
+    label = components(links, "a", "b", rounds=2).select(F.col("node").alias("id"), F.col("component").alias("linked"))
+    placed = members.join(label, "id", "left").select("key", "id", "n", F.coalesce("linked", "id").alias("component"))
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    open_rows = placed.join(split, "key").distinct().checkpoint()
+    open_ids = open_rows.select("id").distinct()
+    open_sets = sets.join(open_ids, "id", "left_semi")
+    owned = open_sets.mapInArrow(_shingles, "shingle long, id long").groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last")).filter("id = last")
+    owned = owned.groupBy("id").agg(F.collect_list("shingle").alias("own"))  # no more than the set itself
+    reduced = open_sets.join(owned, "id", "left").join(rep.select("id", "keys"), "id").mapInArrow(_without_own, "id long, keys array<long>, members binary")
+    before = F.sum("n").over(Window.partitionBy("key").orderBy("component", "id"))
+    blocks = open_rows.withColumn("block", F.floor(before / BLOCK_SHINGLES))
+    spans = blocks.groupBy("key", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    left, right = spans.select("key", *(F.col(c).alias(f"{c}_1") for c in ("block", "low", "high"))), spans.select("key", *(F.col(c).alias(f"{c}_2") for c in ("block", "low", "high")))
+    block_pairs = left.join(right, "key").filter("block_1 <= block_2 and not (low_1 = high_1 and low_2 = high_2 and low_1 = low_2)")
+    block_pairs = block_pairs.select("key", F.col("block_1").alias("first"), F.col("block_2").alias("second"), F.explode(F.array_distinct(F.array("block_1", "block_2"))).alias("block"))
+    groups = blocks.join(block_pairs, ["key", "block"]).join(reduced, "id").select("key", "first", "second", "block", "id", "n", "component", "keys", "members")
+    links = links.union(groups.groupBy("key", "first", "second").applyInArrow(_compare(threshold), "a long, b long")).checkpoint()
     edges = copies.select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    edges = edges if links is None else edges.union(links)
+    edges = edges.union(links)
     component = components(edges, "a", "b").withColumnRenamed("node", "id")
     out = signed.join(component, "id", "left")
     group = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), group.alias("component_id"), group.eqNullSafe(F.col("id")).alias("kept"))
 
 
-def _step(open_rows: DataFrame, done: int, pairs: int, largest: int) -> int:
-    """The most leaders a bucket, doubling from 1, whose comparisons with all later members are at most `pairs`."""
-    sizes = open_rows.groupBy("key").agg(F.max("rank").alias("size"))
-    step, sums = 1, []
-    steps = [1 << i for i in range(1, 32) if 1 << (i - 1) < largest]
-    for s in steps:
-        led = F.least(F.lit(s).cast("double"), F.col("size") - done)
-        sums.append(F.sum(led * (F.col("size") - done) - led * (led + 1) / 2).alias(f"s{s}"))
-    got = sizes.agg(*sums).first() if steps else []
-    for s, n in zip(steps, got, strict=True):
-        if n is not None and n <= pairs:
-            step = s
-    return step
-
-
 def op7_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=2)
