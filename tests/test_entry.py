@@ -1,0 +1,50 @@
+"""Every registered query of the curation engine against its SQL, on the smallest tables."""
+
+import math
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__
+from sievemill.plans import queries as core
+from tests.conftest import SMALL
+
+
+def _plain(v):
+    if v is None or isinstance(v, float) and math.isnan(v):
+        return None
+    return round(float(v), 9) if isinstance(v, (int, float)) and not isinstance(v, bool) else str(v)
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for f in os.listdir(SMALL):
+        con.execute(f"create view {f.removesuffix('.parquet')} as select * from '{SMALL}/{f}'")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(core.oracle_sql()))
+def test_query_equals_sql(spark, duck, sf_dir, name):
+    df = core.queries()[name](spark, sf_dir)
+    want = duck.execute(core.oracle_sql()[name])
+    columns = [c[0] for c in want.description]
+    assert sorted(df.columns) == sorted(columns)
+    rows = sorted((tuple(_plain(r[c]) for c in columns) for r in df.collect()), key=str)
+    assert rows == sorted((tuple(map(_plain, r)) for r in want.fetchall()), key=str)
+
+
+@pytest.mark.parametrize("name", sorted(set(core.queries()) - set(core.oracle_sql())))
+def test_query_runs(spark, sf_dir, name):
+    assert core.queries()[name](spark, sf_dir).count() >= 0
+
+
+def test_entry_is_the_training_set(spark):
+    df = __spark_entry__.entry(spark)
+    assert df.columns == ["qa_id", "messages"]
+    assert df.count() > 0
+
+
+def test_sql_has_a_query_each():
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
