@@ -9,7 +9,8 @@ times.
 The weights are realised as block permutations. A source's documents are dealt by hash into blocks of about
 `block_tokens` tokens. Every pass goes through the blocks in an order of its own; the last, partial pass takes
 blocks in its order until the source's budget is met, and the documents of the block that crosses it in hash
-order until it is met. Each emission carries a key that interleaves all sources evenly: sorting by it, in all or
+order until it is met. So a source's partial pass is three numbers: the crossing block, its place, and the last
+hash in it. Budgets are worked out on keys and token counts; the texts are never shuffled. Each emission carries a key that interleaves all sources evenly: sorting by it, in all or
 in parts, gives the mixed order.
 
 The table of sources is collected, at most `MAX_SOURCES` of them; more raise an error. A null source is one
@@ -22,7 +23,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_SOURCES = 100_000
@@ -80,36 +81,46 @@ def mix(df: DataFrame, entropy: float | None = None, repetition: float | None =
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"\S+")), F.lit(0)).cast("long")
     source = F.col(source_col).cast("string")
     keyed = df.withColumns({"mix tokens": words, "mix deal": F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))})
-    sizes = keyed.groupBy(source.alias("s")).agg(F.sum("mix tokens").alias("n"))
-    known = sorted((tuple(r) for r in sizes.limit(MAX_SOURCES + 1).collect()), key=lambda r: (r[0] is not None, r[0] or ""))
+    keys = keyed.select(source.alias("s"), F.col("mix tokens").alias("n"), F.col("mix deal").alias("deal")).checkpoint()
+    known = keys.groupBy("s").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(known) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
+    known = sorted((tuple(r) for r in known), key=lambda r: (r[0] is not None, r[0] or ""))
     plan = solve([float(n) for _, n in known], entropy, repetition) if known else Mix(1.0, 0.0, [], [])
     rows = [(s, max(1, round(n / block_tokens)), int(p), int(round((p - int(p)) * n)), p) for (s, n), p in zip(known, plan.passes, strict=True)]
-    sources = spark.createDataFrame(rows, "s string, blocks int, whole int, rest long, passes double")
-    sources = F.broadcast(sources)  # MAX_SOURCES short rows at most
-    of_source = lambda d, name: source.eqNullSafe(d[name])
-    dealt = keyed.join(sources, of_source(sources, "s")).drop("s").withColumn("mix block", F.pmod("mix deal", "blocks").cast("int"))
-
-    # the last pass: whole blocks in its order up to the rest of the budget, and part of the next one
-    per_block = dealt.groupBy(source.alias("s"), F.col("mix block").alias("b")).agg(F.sum("mix tokens").alias("n"), F.first("rest").alias("rest"), F.first("whole").alias("whole"))
-    turn = F.xxhash64(F.lit(seed), F.col("whole"), F.col("b"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy(turn, "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    per_block = per_block.withColumn("left", F.col("rest") - before).filter("left > 0").select("s", "b", F.col("n").alias("size"), "left")
-    joined = dealt.join(per_block, of_source(per_block, "s") & (F.col("mix block") == per_block["b"]), "left").drop("s", "b")
-    crossing = F.coalesce(F.col("left") < F.col("size"), F.lit(False))
-    in_block = Window.partitionBy(source, "mix block").orderBy("mix deal").rowsBetween(Window.unboundedPreceding, -1)
-    names = [*df.columns, "mix tokens", "mix deal", "mix block", "blocks", "whole", "passes"]
-    # only the documents of crossing blocks are put in order
-    part = joined.filter(crossing).withColumn("mix more", F.coalesce(F.sum("mix tokens").over(in_block), F.lit(0)) < F.col("left"))
-    rest = joined.filter(~crossing).withColumn("mix more", F.col("left").isNotNull())
-    chosen = rest.select(*names, "mix more").unionByName(part.select(*names, "mix more"))
-    epochs = F.sequence(F.lit(0), F.col("whole") - 1 + F.col("mix more").cast("int"))
+    sources = F.broadcast(spark.createDataFrame(rows, "t string, blocks int, whole int, rest long, passes double"))  # MAX_SOURCES short rows at most
+
+    def block(deal: str):
+        return F.pmod(deal, "blocks").cast("int")
+
+    def turn(number: Column) -> Column:
+        """A block's place in the last pass."""
+        return F.xxhash64(F.lit(seed), F.col("whole"), number)
+
+    dealt = keys.join(sources, F.col("s").eqNullSafe(F.col("t"))).withColumn("b", block("deal"))
+    blocks = dealt.groupBy("s", "b").agg(F.sum("n").alias("n"), F.first("rest").alias("rest"), F.first("whole").alias("whole")).withColumn("turn", turn(F.col("b")))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("turn", "b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    started = blocks.withColumn("left", F.col("rest") - before).filter("left > 0")
+    crossing = started.groupBy("s").agg(F.min_by(F.struct("b", "turn", "left"), "left").alias("c")).select(F.col("s").alias("t"), "c.*")
+    in_crossing = dealt.drop("t").join(F.broadcast(crossing), F.col("s").eqNullSafe(F.col("t")) & (dealt["b"] == crossing["b"]))
+    done = F.coalesce(F.sum("n").over(Window.partitionBy("s").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = in_crossing.withColumn("done", done).filter("done < left").groupBy("s").agg(F.max("deal").alias("last"))
+    cuts = crossing.join(last, F.col("t").eqNullSafe(F.col("s"))).select("t", "b", "turn", "last").collect()  # one row a source
+    cuts = {r["t"]: (r["b"], r["turn"], r["last"]) for r in cuts}
+    rows = [(*r, *cuts.get(r[0], (None, None, None))) for r in rows]
+    names = ["t", "blocks", "whole", "rest", "passes", "cut block", "cut turn", "cut deal"]  # beside any column of the table
+    kinds = ["string", "int", "int", "long", "double", "int", "long", "long"]
+    whole_plan = F.broadcast(spark.createDataFrame(rows, ", ".join(f"`mix {n}` {k}" for n, k in zip(names, kinds, strict=True))))
+    t, n_blocks, whole, passes, cut_block, cut_turn, cut_deal = (F.col(f"mix {n}") for n in names if n != "rest")
+    chosen = keyed.join(whole_plan, source.eqNullSafe(t)).withColumn("mix block", F.pmod("mix deal", n_blocks).cast("int"))
+    mine = F.xxhash64(F.lit(seed), whole, F.col("mix block"))
+    more = (mine < cut_turn) | ((F.col("mix block") == cut_block) & (F.col("mix deal") <= cut_deal))
+    epochs = F.sequence(F.lit(0), whole - 1 + F.coalesce(more, F.lit(False)).cast("int"))
     out = chosen.withColumn("mix epoch", F.explode(epochs))
     unit = lambda x: (F.pmod(x, F.lit(1 << 40)) / float(1 << 40))
-    place = (unit(F.xxhash64(F.lit(seed), F.col("mix epoch"), F.col("mix block"))) + unit(F.xxhash64("mix deal", "mix epoch")) / F.col("blocks")) / (1 + 1 / F.col("blocks"))
-    share = F.when(F.col("mix epoch") < F.col("whole"), 1.0).otherwise(F.col("passes") - F.col("whole"))  # of a pass
-    return out.withColumn("mix key", (F.col("mix epoch") + place * share) / F.col("passes")).select(*df.columns, "mix tokens", "mix epoch", "mix key")
+    place = (unit(F.xxhash64(F.lit(seed), F.col("mix epoch"), F.col("mix block"))) + unit(F.xxhash64("mix deal", "mix epoch")) / n_blocks) / (1 + 1 / n_blocks)
+    share = F.when(F.col("mix epoch") < whole, 1.0).otherwise(passes - whole)  # of a pass
+    return out.withColumn("mix key", (F.col("mix epoch") + place * share) / passes).select(*df.columns, "mix tokens", "mix epoch", "mix key")
 
 
 #: Passes over a source, at most, in the registered query and the pipeline.

@@ -9,7 +9,7 @@ from tests.llm.helpers import DOCS
 
 
 def frame(spark, rows):
-    return spark.createDataFrame([(i, t, s, "clash", "clash") for i, t, s in rows], DOCS)
+    return spark.createDataFrame([(i, t, s, "clash", "clash", 1, 2) for i, t, s in rows], f"{DOCS}, whole int, blocks int")
 
 
 @pytest.mark.parametrize("limit", [1.0, 1.5, 3.0, 100.0])
