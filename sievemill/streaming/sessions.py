@@ -100,7 +100,19 @@ def command_of(line: str | Column) -> Column:
     t = strip(line)
     low = F.lower(t)
     cmd = F.when(t == "", "ignore").when(low.isin("/exit", "/quit"), "exit").when(low == "/clear", "clear").when(t.startswith("/system "), "system").otherwise("message")
-    return F.struct(cmd.alias("cmd"), F.when(cmd == "system", F.substring_index(F.concat(t, F.lit("")), "/system ", -1)).when(cmd == "message", t).alias("arg"))
+    return F.struct(cmd.alias("cmd"), F.when(cmd == "system", F.regexp_replace(t, "^/system ", "")).when(cmd == "message", t).alias("arg"))
+
+
+def typed(line: str) -> tuple[str, str | None]:
+    """command_of for one line."""
+    t = line.strip()
+    if t.lower() in ("/exit", "/quit"):
+        return "exit", None
+    if t.lower() == "/clear":
+        return "clear", None
+    if t.startswith("/system "):
+        return "system", t.split(" ", 1)[1]
+    return ("message", t) if t else ("ignore", None)
 
 
 def inspect(states: DataFrame, session_id: str) -> dict[str, Any]:
