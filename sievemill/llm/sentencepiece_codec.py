@@ -9,7 +9,7 @@ units of a batch are encoded together, in flat numpy arrays of symbols:
 * the pairs of that rank merge, the leftmost first and none overlapping, in all units at once, and the arrays
   are compacted. Where the merged piece could start a pair of the same or a smaller rank, only the unit's
   leftmost one merges in this round, as the sequential algorithm would;
-* units without a pair leave. Symbols that are no pieces become bytes.
+* units without a pair leave. Characters that are no pieces are bytes from the start, which merge with nothing.
 
 Null and empty texts have the end id only. Characters outside the vocabulary decode from their bytes. Null
 ids, repeated rows, ties and long texts without spaces need no special case. An empty table gives an empty
@@ -24,16 +24,50 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE_MARK = "▁"
-#: Units whose encodings a worker keeps.
-KEPT_UNITS = 400_000
+#: Units whose encodings a worker keeps, and bytes of text that it encodes at once, about.
+KEPT_UNITS, CHUNK_BYTES = 250_000, 1 << 22
 _NONE = np.iinfo(np.int64).max
 _UNIT = re.compile(" +[^ ]*")
 
 
+class PairTable:
+    """Merged piece of a pair of symbols, found by hash for many pairs at once."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: int = 19):
+        self.shift = np.uint64(64 - bits)
+        order = np.argsort(self._slot(keys), kind="stable")
+        slot = self._slot(keys)[order]
+        start = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else np.zeros(0, np.int64)
+        turn = np.arange(len(slot)) - np.repeat(start, np.diff(np.append(start, len(slot))))
+        self.keys = np.full((int(turn.max(initial=0)) + 1, 1 << bits), -1)
+        self.values = np.full(self.keys.shape, -1, np.int32)
+        self.keys[turn, slot], self.values[turn, slot] = keys[order], values[order]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each key, or -1."""
+        slot = self._slot(keys)
+        found = self.keys[0][slot]
+        out = np.where(found == keys, self.values[0][slot], -1)
+        open_ = np.flatnonzero((found != keys) & (found >= 0))
+        for k in range(1, len(self.keys)):
+            if not len(open_):
+                break
+            at, key = slot[open_], keys[open_]
+            found = self.keys[k][at]
+            hit = found == key
+            out[open_[hit]] = self.values[k][at[hit]]
+            open_ = open_[~hit & (found >= 0)]
+        return out
+
+
 class BpeCodec:
     """Encoder and decoder of one model file; `path` can be read on every executor."""
 
@@ -57,9 +91,17 @@ class BpeCodec:
         self.ids = {p: i for i, p in enumerate(pieces) if plain[i]}
         if any(SPACE_MARK in p.lstrip(SPACE_MARK) for p in self.ids):
             raise ValueError("a piece holds a space mark after another character")
+        if any(c not in self.ids for p in self.ids for c in p):
+            raise ValueError("a piece holds a character that is no piece")
+        # characters to symbols: pieces, bytes of ASCII characters that are none, or -1 for more than one byte
+        self.first = np.full(0x110000, -1, np.int32)
+        self.first[:0x80] = self.byte_ids[:0x80]
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.first[ord(p)] = i
         # a smaller rank merges first; equal scores share a rank and the leftmost pair wins
         scores = np.array([-sp.get_score(i) for i in range(n)])
-        rank = np.unique(scores, return_inverse=True)[1].astype(np.int64)
+        self.rank = np.unique(scores, return_inverse=True)[1].astype(np.int64)
         left, right, made = [], [], []
         for p, i in self.ids.items():
             for cut in range(1, len(p)):
@@ -67,50 +109,49 @@ class BpeCodec:
                 if a is not None and b is not None:
                     left.append(a), right.append(b), made.append(i)
         made_ids = np.array(made, np.int64)
-        key = np.array(left, np.int64) * n + np.array(right, np.int64)
-        order = np.argsort(key)
-        self.n, self.pair_keys, self.pair_made = n, key[order], made_ids[order]
-        self.pair_rank = rank[self.pair_made]
+        self.n, self.pairs = n, PairTable(np.array(left, np.int64) * n + np.array(right, np.int64), made_ids)
         # the smallest rank of any pair that has this symbol on a side
-        best = np.full(n + 1, _NONE)
-        np.minimum.at(best, left, rank[made_ids])
-        np.minimum.at(best, right, rank[made_ids])
-        self.safe = best[:n] > rank
-
-    def _pairs(self, symbols: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank and merged piece of each symbol with the next one of its unit."""
-        known = (symbols[:-1] < self.n) & (symbols[1:] < self.n) & ~last[:-1]
-        key = np.where(known, symbols[:-1] * self.n + symbols[1:], -1)
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        hit = self.pair_keys[at] == key
-        end = np.ones(1, bool)
-        return np.append(np.where(hit, self.pair_rank[at], _NONE), np.full(1, _NONE)), np.append(np.where(hit, self.pair_made[at], -1), -end.astype(np.int64))
-
-    def encode_units(self, units: list[str]) -> list[np.ndarray]:
-        """Ids of normalised units (space marks written as spaces)."""
+        best = np.full(n, _NONE)
+        np.minimum.at(best, left, self.rank[made_ids])
+        np.minimum.at(best, right, self.rank[made_ids])
+        self.safe = best > self.rank
+        # each id's decimal digits with a space after them, and its bytes
+        self.digits = Ragged([b"%d " % i for i in range(n)])
+        self.text = Ragged(self.bytes_of)
+
+    def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of normalised units (space marks written as spaces), one after the other, and the units' limits in them."""
         text = "".join(units).replace(" ", SPACE_MARK)
         codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        size = np.fromiter(map(len, units), np.int64, len(units))
-        chars, inverse = np.unique(codes, return_inverse=True)
-        ids = np.array([self.ids.get(chr(c), -1) for c in chars], np.int64)
-        ids = np.where(ids < 0, self.n + chars.astype(np.int64), ids)  # no piece: the code point beyond the pieces
-        symbols, unit = ids[inverse] if len(codes) else np.zeros(0, np.int64), np.repeat(np.arange(len(units)), size)
+        unit = np.repeat(np.arange(len(units)), np.fromiter(map(len, units), np.int64, len(units)))
+        symbols = self.first[codes].astype(np.int64)
+        odd = np.flatnonzero(symbols < 0)
+        if len(odd):  # one symbol a byte; those merge with nothing
+            spelled = [self.byte_ids[list(chr(codes[i]).encode())] for i in odd]
+            size = np.ones(len(symbols), np.int64)
+            size[odd] = [len(x) for x in spelled]
+            unit = np.repeat(unit, size)
+            start = np.cumsum(size) - size
+            symbols = np.repeat(symbols, size)
+            symbols[np.repeat(start[odd], size[odd]) + np.concatenate([np.arange(len(x)) for x in spelled])] = np.concatenate(spelled)
         done_symbols, done_units = [], []
         while len(symbols):
             last = np.append(unit[1:] != unit[:-1], True)
-            rank, made = self._pairs(symbols, last)
+            made = self.pairs.find(symbols * self.n + np.append(symbols[1:], 0))
+            made[last] = -1
+            rank = np.where(made >= 0, self.rank[made], _NONE)
             begin = np.flatnonzero(np.append(True, last[:-1]))
             least = np.minimum.reduceat(rank, begin)
             count = np.diff(np.append(begin, len(symbols)))
-            active = np.repeat(least < _NONE, count)
-            if not active.all():
+            going = least < _NONE
+            if not going.all():
+                active = np.repeat(going, count)
                 done_symbols.append(symbols[~active]), done_units.append(unit[~active])
                 symbols, unit, rank, made = symbols[active], unit[active], rank[active], made[active]
-                least, count = least[least < _NONE], count[least < _NONE]
+                least, count = least[going], count[going]
                 if not len(symbols):
                     break
-            merge = rank == np.repeat(least, count)
-            at = np.flatnonzero(merge)
+            at = np.flatnonzero(rank == np.repeat(least, count))
             # of overlapping places, which are neighbours, every second one from the left merges
             new = np.append(True, (at[1:] != at[:-1] + 1) | (unit[at[1:]] != unit[at[:-1]]))
             run = np.flatnonzero(new)
@@ -126,18 +167,7 @@ class BpeCodec:
         symbols = np.concatenate(done_symbols) if done_symbols else symbols
         unit = np.concatenate(done_units) if done_units else unit
         order = np.argsort(unit, kind="stable")
-        symbols, unit = symbols[order], unit[order]
-        limits = np.searchsorted(unit, np.arange(len(units) + 1))
-        odd = symbols >= self.n
-        if not odd.any():
-            return [symbols[a:b] for a, b in zip(limits[:-1], limits[1:], strict=True)]
-        out = []
-        for a, b in zip(limits[:-1], limits[1:], strict=True):
-            part = symbols[a:b]
-            if odd[a:b].any():
-                part = np.concatenate([[s] if s < self.n else self.byte_ids[list(chr(s - self.n).encode())] for s in part])
-            out.append(part)
-        return out
+        return symbols[order].astype(np.int32), np.searchsorted(unit[order], np.arange(len(units) + 1))
 
     @staticmethod
     def units(text: str) -> list[str]:
@@ -148,7 +178,7 @@ class BpeCodec:
         return _UNIT.findall(text)
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for part in self.encode_units(self.units(text)) for i in part] + [self.eos]
+        return [*self.encode_units(self.units(text))[0].tolist(), self.eos]
 
     def decode(self, ids) -> str:
         """Text of ids: pieces joined, bytes read as UTF-8 (each byte that is none: U+FFFD), the leading space dropped."""
@@ -196,42 +226,91 @@ def codec(path: str) -> BpeCodec:
     return _CODECS[path]
 
 
+class Ragged:
+    """Byte strings by number, for gathering many at once."""
+
+    def __init__(self, values: list[bytes]):
+        self.size = np.array([len(v) for v in values], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(values), np.uint8)
+
+    def take(self, numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The strings of numbers, one after the other, and the limits of rows (limits in numbers) in them."""
+        size = self.size[numbers]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        at = np.repeat(self.start[numbers] - ends[:-1], size) + np.arange(ends[-1])
+        return self.data[at], ends[rows]
+
+
+def _occurrences(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Units of texts, and the texts' limits in them. A unit is written without its (last) space.
+
+    Where no two spaces meet, units are what stands between spaces; the other texts are cut by a pattern.
+    """
+    meets = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE_MARK))
+    meets = pc.or_(meets, pc.or_(pc.starts_with(texts, " "), pc.ends_with(texts, " ")))
+    plain = pc.split_pattern(pc.if_else(meets, "", texts), " ")
+    if not pc.any(meets).as_py() and not pc.any(pc.equal(texts, "")).as_py():
+        return plain.flatten(), plain.offsets.to_numpy()
+    lists = plain.to_pylist()
+    for i in np.flatnonzero(pc.or_(meets, pc.equal(texts, "")).to_numpy(zero_copy_only=False)):
+        lists[i] = [u[1:] for u in BpeCodec.units(texts[int(i)].as_py())]
+    return pa.array([u for us in lists for u in us], pa.string()), np.cumsum([0, *map(len, lists)])
+
+
 def _encoded(path: str, with_ids: bool):
+    def encode(c: BpeCodec, texts: pa.Array, seen: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts, each with the end id, and the texts' limits in them."""
+        flat, rows = _occurrences(texts)
+        coded = flat.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        new = [u for u in names if u not in seen]
+        ids, limits = c.encode_units([" " + u for u in new])
+        if len(seen) + len(new) > KEPT_UNITS:
+            known = {u: seen[u] for u in names if u in seen}
+            seen.clear()
+            seen.update(known)
+        data = ids.tobytes()
+        seen.update(zip(new, [data[a:b] for a, b in zip((limits[:-1] * 4).tolist(), (limits[1:] * 4).tolist(), strict=True)], strict=True))
+        parts = [seen[u] for u in names]
+        unit_ids = np.frombuffer(b"".join(parts), np.int32)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        start = np.cumsum(size) - size
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        # places of the texts' ids, with one more for the end of each text
+        length = size[which]
+        ends = np.concatenate([[0], np.cumsum(length)])
+        out_rows = ends[rows] + np.arange(len(rows))
+        at = np.repeat(start[which] - ends[:-1], length) + np.arange(ends[-1])
+        out = np.full(out_rows[-1], c.eos, np.int32)
+        body = np.ones(len(out), bool)
+        body[out_rows[1:] - 1] = False
+        out[body] = unit_ids[at]
+        return out, out_rows
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        seen: dict[str, tuple] = {}
+        seen: dict[str, bytes] = {}
         for batch in batches:
             texts = batch.column("text")
-            n, shas, back, lists = [], [], [], []
+            size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
             at = 0
             while at < len(texts):
-                to, total, units = at, 0, []
-                while to < len(texts) and (to == at or total < 1 << 21):
-                    units.append(c.units(texts[to].as_py()))
-                    total += texts[to].as_buffer().size
-                    to += 1
-                if len(seen) > KEPT_UNITS:
-                    seen.clear()
-                new = list({u for us in units for u in us}.difference(seen))
-                for u, ids in zip(new, c.encode_units(new), strict=True):
-                    # a unit's bytes are whole characters, so it decodes by itself
-                    seen[u] = (len(ids), " ".join(map(str, ids.tolist())), _utf8(b"".join(c.bytes_of[i] for i in ids.tolist())), ids if with_ids else None)
-                for us in units:
-                    got = [seen[u] for u in us]
-                    n.append(sum(g[0] for g in got) + 1)
-                    text = " ".join([*(g[1] for g in got), str(c.eos)])
-                    shas.append(hashlib.sha256(text.encode()).hexdigest())
-                    decoded = "".join([g[2] for g in got])
-                    back.append(decoded[1:] if decoded[:1] == " " else decoded)
-                    if with_ids:
-                        lists.append(np.concatenate([*(g[3] for g in got), [c.eos]]).astype(np.int32))
+                to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + CHUNK_BYTES, "right")))
+                ids, rows = encode(c, texts.slice(at, to - at), seen)
+                digits, ends = c.digits.take(ids, rows)
+                digits = digits.tobytes()
+                shas = [hashlib.sha256(digits[a : b - 1]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                spelled, ends = c.text.take(ids, rows)
+                spelled = spelled.tobytes()
+                back = [spelled[a + (spelled[a : a + 1] == b" ") : b].decode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+                arrays = [batch.column("id").slice(at, to - at), pa.array(np.diff(rows).astype(np.int64)), pa.array(shas, pa.string()), pa.array(back, pa.string())]
+                names = ["id", "n_tokens", "ids_sha256", "decoded"]
+                if with_ids:
+                    arrays.append(pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(ids)))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(arrays, names)
                 at = to
-            arrays = [batch.column("id"), pa.array(n, pa.int64()), pa.array(shas, pa.string()), pa.array(back, pa.string())]
-            names = ["id", "n_tokens", "ids_sha256", "decoded"]
-            if with_ids:
-                arrays.append(pa.array(lists, pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
 

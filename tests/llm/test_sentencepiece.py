@@ -39,6 +39,7 @@ def test_decodes_any_ids(library):
 
 def test_documents(spark, library, monkeypatch):
     monkeypatch.setattr(codec, "KEPT_UNITS", 10)
+    monkeypatch.setattr(codec, "CHUNK_BYTES", 200)
     rows = [*enumerate(texts(40)), (1000, None), (None, "x"), (1, "again")]
     got = codec.encode_documents(docs(spark, rows), PATH, with_ids=True).collect()
     want = sorted((str(i), t or "") for i, t in rows)
