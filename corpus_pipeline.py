@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.llm import minhash_dedup, mixing, quality, sentencepiece_codec, substring_dedup
+from sievemill.llm.names import unused
 from sievemill.llm.session import with_checkpoints
 
 #: Documents with a lower quality score go.
@@ -24,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality classifier accepts."""
     with_checkpoints(spark)
     trees = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    score = "score of quality"
+    score = unused(docs.columns, "score of quality")
     return quality.with_scores(docs, trees, score_col=score).filter(F.col(score) >= QUALITY).select(*docs.columns)
 
 
@@ -37,17 +38,18 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the words of repeated windows; a text that loses nothing stays as it is, one that loses all is empty."""
+    """Documents without the words of repeated windows; a text that loses nothing stays as it is, one that loses all, or is null, is empty."""
     with_checkpoints(spark)
-    cut = substring_dedup.substring_dedup(docs, one_space=False, carry=[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")])
-    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    prefix = unused(docs.columns, "cut ")
+    cut = substring_dedup.substring_dedup(docs, one_space=False, carry=[c for c in docs.columns if c not in ("doc_id", "text", "n_chars")], prefix=prefix)
+    new = {"text": F.col(f"{prefix}kept"), "n_chars": F.length(f"{prefix}kept").cast("long")}
     return cut.select(*(new.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     with_checkpoints(spark)
-    return mixing.mix(docs, repetition=mixing.REPETITION).select(*docs.columns)
+    return mixing.mix(docs, repetition=mixing.REPETITION, prefix=unused(docs.columns, "mix ")).select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

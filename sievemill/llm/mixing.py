@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sievemill.llm.names import unused
+
 MAX_SOURCES = 100_000
 BLOCK_TOKENS = 1_000_000
 
@@ -75,13 +77,18 @@ def solve(tokens: list[float], entropy: float | None = None, repetition: float |
     return Mix(high, sum(x * p for x, p in zip(tokens, passes, strict=True)), w, passes)
 
 
-def mix(df: DataFrame, entropy: float | None = None, repetition: float | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 1, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """The rows of the table as often as the mix takes them, with `mix tokens` long, `mix epoch` int (from 0) and `mix key` double."""
+def mix(df: DataFrame, entropy: float | None = None, repetition: float | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 1, block_tokens: int = BLOCK_TOKENS, prefix: str = "mix ") -> DataFrame:
+    """The rows of the table as often as the mix takes them, with `mix tokens` long, `mix epoch` int (from 0) and `mix key` double.
+
+    prefix: of these names, and of inner ones; no column of the table may start with it.
+    """
+    if unused(df.columns, prefix) != prefix:
+        raise ValueError(f"a column starts with {prefix}")
     spark = df.sparkSession
     words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"\S+")), F.lit(0)).cast("long")
     source = F.col(source_col).cast("string")
-    keyed = df.withColumns({"mix tokens": words, "mix deal": F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))})
-    keys = keyed.select(source.alias("s"), F.col("mix tokens").alias("n"), F.col("mix deal").alias("deal")).checkpoint()
+    keyed = df.withColumns({f"{prefix}tokens": words, f"{prefix}deal": F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))})
+    keys = keyed.select(source.alias("s"), F.col(f"{prefix}tokens").alias("n"), F.col(f"{prefix}deal").alias("deal")).checkpoint()
     known = keys.groupBy("s").agg(F.sum("n").alias("n")).limit(MAX_SOURCES + 1).collect()
     if len(known) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources")
@@ -110,17 +117,17 @@ def mix(df: DataFrame, entropy: float | None = None, repetition: float | None =
     rows = [(*r, *cuts.get(r[0], (None, None, None))) for r in rows]
     names = ["t", "blocks", "whole", "rest", "passes", "cut block", "cut turn", "cut deal"]  # beside any column of the table
     kinds = ["string", "int", "int", "long", "double", "int", "long", "long"]
-    whole_plan = F.broadcast(spark.createDataFrame(rows, ", ".join(f"`mix {n}` {k}" for n, k in zip(names, kinds, strict=True))))
-    t, n_blocks, whole, passes, cut_block, cut_turn, cut_deal = (F.col(f"mix {n}") for n in names if n != "rest")
-    chosen = keyed.join(whole_plan, source.eqNullSafe(t)).withColumn("mix block", F.pmod("mix deal", n_blocks).cast("int"))
-    mine = F.xxhash64(F.lit(seed), whole, F.col("mix block"))
-    more = (mine < cut_turn) | ((F.col("mix block") == cut_block) & (F.col("mix deal") <= cut_deal))
+    whole_plan = F.broadcast(spark.createDataFrame(rows, ", ".join(f"`{prefix}{n}` {k}" for n, k in zip(names, kinds, strict=True))))
+    t, n_blocks, whole, passes, cut_block, cut_turn, cut_deal = (F.col(f"{prefix}{n}") for n in names if n != "rest")
+    chosen = keyed.join(whole_plan, source.eqNullSafe(t)).withColumn(f"{prefix}block", F.pmod(f"{prefix}deal", n_blocks).cast("int"))
+    mine = F.xxhash64(F.lit(seed), whole, F.col(f"{prefix}block"))
+    more = (mine < cut_turn) | ((F.col(f"{prefix}block") == cut_block) & (F.col(f"{prefix}deal") <= cut_deal))
     epochs = F.sequence(F.lit(0), whole - 1 + F.coalesce(more, F.lit(False)).cast("int"))
-    out = chosen.withColumn("mix epoch", F.explode(epochs))
+    out = chosen.withColumn(f"{prefix}epoch", F.explode(epochs))
     unit = lambda x: (F.pmod(x, F.lit(1 << 40)) / float(1 << 40))
-    place = (unit(F.xxhash64(F.lit(seed), F.col("mix epoch"), F.col("mix block"))) + unit(F.xxhash64("mix deal", "mix epoch")) / n_blocks) / (1 + 1 / n_blocks)
-    share = F.when(F.col("mix epoch") < whole, 1.0).otherwise(passes - whole)  # of a pass
-    return out.withColumn("mix key", (F.col("mix epoch") + place * share) / passes).select(*df.columns, "mix tokens", "mix epoch", "mix key")
+    place = (unit(F.xxhash64(F.lit(seed), F.col(f"{prefix}epoch"), F.col(f"{prefix}block"))) + unit(F.xxhash64(f"{prefix}deal", f"{prefix}epoch")) / n_blocks) / (1 + 1 / n_blocks)
+    share = F.when(F.col(f"{prefix}epoch") < whole, 1.0).otherwise(passes - whole)  # of a pass
+    return out.withColumn(f"{prefix}key", (F.col(f"{prefix}epoch") + place * share) / passes).select(*df.columns, f"{prefix}tokens", f"{prefix}epoch", f"{prefix}key")
 
 
 #: Passes over a source, at most, in the registered query and the pipeline.

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from sievemill.llm import boosting
 from sievemill.llm import textbytes as tb
+from sievemill.llm.names import unused
 
 #: Labelled rows that a model is fitted on, at most.
 SAMPLE = 20_000
@@ -113,7 +114,7 @@ def with_scores(df: DataFrame, trees: boosting.Trees, text_col: str = "text", sc
     """The table with a score double (0 to 1)."""
     if score_col in df.columns:
         raise ValueError(f"the table has a column {score_col}")
-    name = "text to score"
+    name = unused(df.columns, "text to score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -213,12 +213,12 @@ def _cut(window: int, one_space: bool):
     return run
 
 
-def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, one_space: bool = True, carry: Sequence[str] = ()) -> DataFrame:
+def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, one_space: bool = True, carry: Sequence[str] = (), prefix: str = "") -> DataFrame:
     """One row per input row: the id, x int (hash of the text), n_words long, n_removed long, kept string, carried columns.
 
     one_space: kept words joined by one space; else the original separators stay between kept words.
     window: 9 to 22 words, so that a run holds 15 windows at most.
-    carry: further columns to return as they are.
+    carry: further columns to return as they are. prefix: of the names of x, n_words, n_removed and kept.
     """
     if not ANCHOR_WORDS < window <= ANCHOR_WORDS + 14:
         raise ValueError(f"window must be {ANCHOR_WORDS + 1} to {ANCHOR_WORDS + 14} words")
@@ -251,8 +251,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     kept = [T.StructField("id", T.LongType()), T.StructField("x", T.IntegerType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
     schema = T.StructType([*kept, *(f for f in whole.schema.fields if f.name.startswith("carried "))])
     out = joined.mapInArrow(_cut(window, one_space), schema)
-    own = [F.col("id").alias(id_col), *(c for c in ("x", "n_words", "n_removed", "kept") if c not in carry)]
-    return out.select(*own, *(F.col(f"carried {i}").alias(c) for i, c in enumerate(carry)))
+    own = [F.col(c).alias(prefix + c) for c in ("x", "n_words", "n_removed", "kept") if prefix + c not in carry]
+    return out.select(F.col("id").alias(id_col), *own, *(F.col(f"carried {i}").alias(c) for i, c in enumerate(carry)))
 
 
 def op3_substring_dedup(spark, sf_dir: str) -> DataFrame:

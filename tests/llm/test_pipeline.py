@@ -68,3 +68,20 @@ def test_encoding(stages):
 
 def test_run(spark, stages, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).exceptAll(stages[4][1]).count() == 0
+
+
+def test_stages_with_odd_rows_and_clashing_columns(spark, sf_dir):
+    """Nulls everywhere, empty and repeated rows, no rows at all, and columns named like inner ones."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, kept string, id string, x int, `mix key` double, `cut kept` string, score double, component_id long"
+    rows = [(i, t, None, s, None, "k", None, None, None, None, None, None) for i, t, s in [(None, None, None), (None, "null id text", "a"), (1, "", None), (1, "", None), (2, "one two three " * 30, "a"), (3, "one two three " * 30, "b"), (4, None, "a")]]
+    full = spark.createDataFrame(rows, schema)
+    for docs in (full, full.limit(0)):
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            got = stage(spark, docs, sf_dir)
+            assert k == 4 or got.columns == docs.columns
+            n = got.count()
+            assert n >= docs.count() if k in (2, 3, 4) else n <= docs.count()
+    near = {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, full, sf_dir).collect()}
+    assert near == {None, 1, 2, 4}
+    cut = [(r.text, r.n_chars, r.kept) for r in corpus_pipeline.substring_stage(spark, full, sf_dir).collect()]
+    assert len(cut) == 7 and ("", 0, "k") in cut and all(r[2] == "k" for r in cut)
