@@ -21,7 +21,6 @@ from pyspark.sql import types as T
 
 from sievemill.llm import boosting
 from sievemill.llm import textbytes as tb
-from sievemill.llm.names import unused
 
 #: Labelled rows that a model is fitted on, at most.
 SAMPLE = 20_000
@@ -110,25 +109,23 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_
     return boosting.fit(x[order], y[order])
 
 
-def with_scores(df: DataFrame, trees: boosting.Trees, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """The table with a score double (0 to 1)."""
+def with_scores(df: DataFrame, trees: boosting.Trees, text_col: str = "text", score_col: str = "score", keep_text: bool = True) -> DataFrame:
+    """The table with a score double (0 to 1); keep_text=False leaves the text out of it."""
     if score_col in df.columns:
         raise ValueError(f"the table has a column {score_col}")
-    name = unused(df.columns, "text to score")
+    kept = [f for f in df.schema.fields if keep_text or f.name != text_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = trees.score(statistics(batch.column(name)))
-            rest = [(n, c) for n, c in zip(batch.schema.names, batch.columns, strict=True) if n != name]
-            yield pa.RecordBatch.from_arrays([*(c for _, c in rest), pa.array(score)], [*(n for n, _ in rest), score_col])
+            score = trees.score(statistics(batch.column(text_col).fill_null("")))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(score)], [*(f.name for f in kept), score_col])
 
-    schema = T.StructType([*df.schema.fields, T.StructField(score_col, T.DoubleType())])
-    return df.withColumn(name, F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*kept, T.StructField(score_col, T.DoubleType())]))
 
 
 def op1_quality_classifier(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     trees = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     keyed = docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")
-    scored = with_scores(keyed, trees)
+    scored = with_scores(keyed, trees, keep_text=False)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))

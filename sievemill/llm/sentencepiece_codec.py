@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 SPACE_MARK = "▁"
 #: Units whose encodings a worker keeps, and bytes of text that it encodes at once, about.
-KEPT_UNITS, CHUNK_BYTES = 250_000, 1 << 22
+KEPT_UNITS, CHUNK_BYTES = 250_000, 1 << 21
 _NONE = np.iinfo(np.int64).max
 _UNIT = re.compile(" +[^ ]*")
 

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 #: ASCII white space: U+0020 and U+0009 to U+000D.
 SPACE = np.zeros(256, bool)
