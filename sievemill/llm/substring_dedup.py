@@ -13,7 +13,11 @@ choice. Runs are joined by anchor:
   the edges of maximal repeats: their windows are extended word for word, as 128-bit window hashes, and
   the first place of each window is kept.
 
-The union of both is exactly the set of repeated windows; its maximal intervals are the removed spans.
+* anchors that head very many runs of a sample (a passage in many documents, with other words around it each time)
+  are hot: their runs are compared window by window from the start, each under its own hash, so that no single
+  key gathers them. The sample decides on the route only; either route finds the same repeats.
+
+The union of all is exactly the set of repeated windows; its maximal intervals are the removed spans.
 
 Null texts have no words. Rows that repeat an id with the same text are one document and get the same
 result; rows with one id and different texts are different documents, ordered by a hash of the text. A
@@ -33,6 +37,8 @@ from pyspark.sql import types as T
 from sievemill.llm import textbytes as tb
 
 ANCHOR_WORDS = 8
+#: An anchor is hot if it heads so many runs, and so large a share of the documents, of a sample of so many documents.
+HOT_LEAST, HOT_SHARE, HOT_SAMPLE = 50, 0.005, 10_000
 _SECOND_BASE = 0xA24BAED4963EE407
 _RUNS = "id long, x int, h long, r long, s int, m int"
 _WINDOWS = "id long, x int, w1 long, w2 long, s int, seen boolean"
@@ -83,36 +89,82 @@ def _ids(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return ids, values, batch.column("x").to_numpy(zero_copy_only=False)
 
 
-def _runs(window: int):
-    width = window - ANCHOR_WORDS + 1
+def _chosen(c: tb.Chunk, window: int):
+    """Word hashes, anchor hashes, window starts, their rows, and the anchor that each window chooses."""
+    starts, rows = _window_starts(c, window)
+    if not len(starts):
+        return None
+    h = c.hashes()
+    anchors = tb.mix64(tb.ngram_hashes(h, ANCHOR_WORDS))
+    return h, anchors, starts, rows, _rightmost_minimum(anchors, window - ANCHOR_WORDS + 1)[starts]
+
+
+def _anchors(window: int):
+    """The anchors of each batch with their numbers of runs."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for c in tb.chunks(batch.column("text"), tb.SPACE):
+                if (got := _chosen(c, window)) is None:
+                    continue
+                _, anchors, _, _, chosen = got
+                new = np.append(True, chosen[1:] != chosen[:-1])
+                h, n = np.unique(anchors[chosen[new]].view(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
+
+    return run
+
+
+def hot_anchors(docs: DataFrame, window: int) -> np.ndarray:
+    """Anchors with a large share of the runs of a bounded sample, sorted. They only decide where runs are compared."""
+    total = docs.count()
+    if not total:
+        return np.zeros(0, np.int64)
+    counted = docs.sample(min(1.0, HOT_SAMPLE / total), seed=1).select("text").mapInArrow(_anchors(window), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    least = max(HOT_LEAST, HOT_SHARE * min(total, HOT_SAMPLE))
+    # at most the sample's runs divided by `least`
+    return np.sort(np.array([r["h"] for r in counted.filter(F.col("n") >= least).select("h").collect()], np.int64))
+
+
+def _runs(window: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, values, x = _ids(batch)
-            got = []
+            got, n_runs = [], 0
             for c in tb.chunks(batch.column("text"), tb.SPACE):
-                starts, rows = _window_starts(c, window)
-                if not len(starts):
+                if (found := _chosen(c, window)) is None:
                     continue
-                h = c.hashes()
-                anchors = tb.mix64(tb.ngram_hashes(h, ANCHOR_WORDS))
-                w = tb.mix64(tb.ngram_hashes(h, window))
-                chosen = _rightmost_minimum(anchors, width)[starts]
-                new = np.ones(len(starts), bool)
-                new[1:] = chosen[1:] != chosen[:-1]
-                first = np.flatnonzero(new)
+                words, anchors, starts, rows, chosen = found
+                w = tb.mix64(tb.ngram_hashes(words, window))
+                first = np.flatnonzero(np.append(True, chosen[1:] != chosen[:-1]))
                 m = np.diff(np.append(first, len(starts)))
-                s = starts[first]
+                s, h = starts[first], anchors[chosen[first]].view(np.int64)
                 # the first and the last window of a run hold all its words between them
-                r = tb.mix64(w[s] * tb.U64(0x9FB21C651E98DF25) + w[s + m - 1] + m.astype(tb.U64))
+                r = tb.mix64(w[s] * tb.U64(0x9FB21C651E98DF25) + w[s + m - 1] + m.astype(tb.U64)).view(np.int64)
+                number = n_runs + np.arange(len(s))
+                single = np.isin(h, hot) if len(hot) else np.zeros(len(s), bool)
+                if single.any():
+                    # runs of a hot anchor are compared window by window, each under its own hash
+                    n = np.where(single, m, 1)
+                    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    s, h, r, m, number, single = (np.repeat(v, n) for v in (s, h, r, m, number, single))
+                    s = s + np.where(single, step, 0)
+                    h = np.where(single, w[s].view(np.int64), h)
+                    r = np.where(single, tb.mix64(tb.ngram_hashes(words, window, _SECOND_BASE)[s]).view(np.int64), r)
+                    m = np.where(single, 1, m)
+                n_runs += len(first)
                 row = rows[s]
-                got.append((c.first_row + row, anchors[chosen[first]].view(np.int64), r.view(np.int64), (s - c.row_ptr[row]).astype(np.int32), m.astype(np.int32)))
+                got.append((c.first_row + row, h, r, (s - c.row_ptr[row]).astype(np.int32), m.astype(np.int32), np.where(single, number, -1)))
             if not got:
                 continue
-            row, h, r, s, m = map(np.concatenate, zip(*got, strict=True))
+            row, h, r, s, m, number = map(np.concatenate, zip(*got, strict=True))
             # Repeats inside the batch are settled here, so that a hot content sends one row a batch; the others go to keys of their own
             later = _first_of([h, r], [values[row], x[row], s])
-            m = np.where(later, -m, m).astype(np.int32)
+            # neighbouring repeated windows of one run go as one row
+            joined = np.append(False, later[1:] & later[:-1] & (number[1:] >= 0) & (number[1:] == number[:-1]))
+            lead = np.flatnonzero(~joined)
+            m = np.where(later, -np.add.reduceat(m, lead)[np.cumsum(~joined) - 1], m)[lead].astype(np.int32)
+            row, h, r, s, later = row[lead], h[lead], r[lead], s[lead], later[lead]
             h = np.where(later, tb.mix64((values[row] * 31 + s).view(tb.U64)).view(np.int64), h)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(x[row]), *map(pa.array, (h, r, s, m))], ["id", "x", "h", "r", "s", "m"])
 
@@ -224,7 +276,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError(f"window must be {ANCHOR_WORDS + 1} to {ANCHOR_WORDS + 14} words")
     carried = [F.col(c).alias(f"carried {i}") for i, c in enumerate(carry)]
     whole = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried).withColumn("x", F.hash("text"))
-    runs = whole.select("id", "text", "x").mapInArrow(_runs(window), _RUNS)
+    runs = whole.select("id", "text", "x").mapInArrow(_runs(window, hot_anchors(whole, window)), _RUNS)
     anchor = Window.partitionBy("h")
     content = Window.partitionBy("h", "r").orderBy(F.asc_nulls_first("id"), "x", "s")
     flagged = (
