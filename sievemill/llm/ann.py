@@ -35,11 +35,11 @@ def nearest(x: np.ndarray, y: np.ndarray, k: int, own: bool = False) -> np.ndarr
     """For each row of x the indices of its k nearest rows of y; own: x is y, and a row is not its own neighbour."""
     out = []
     norm = (y * y).sum(1)
-    for at in range(0, len(x), 512):
-        d = norm[None, :] - 2 * (x[at : at + 512] @ y.T)
+    for at in range(0, len(x), 128):
+        d = norm[None, :] - 2 * (x[at : at + 128] @ y.T)
         if own:
             d[np.arange(len(d)), np.arange(at, at + len(d))] = np.inf
-        out.append(np.argpartition(d, min(k, d.shape[1] - 1), axis=1)[:, :k])
+        out.append(np.argpartition(d, min(k, d.shape[1] - 1), axis=1)[:, :k].copy())  # a view would keep the whole block
     return np.concatenate(out) if out else np.zeros((0, k), np.int64)
 
 
