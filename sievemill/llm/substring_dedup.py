@@ -69,17 +69,22 @@ def _window_starts(c: tb.Chunk, window: int) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(fits), rows
 
 
-def _first_of(keys: list[np.ndarray], order: list[np.ndarray]) -> np.ndarray:
-    """Which entries are not the first, by order, of those with equal keys."""
+def _first_of(keys: list[np.ndarray], order: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries come after the first place, by order, of those with equal keys; which only repeat that place (equal rows)."""
     if not len(keys[0]):
-        return np.zeros(0, bool)
+        return np.zeros(0, bool), np.zeros(0, bool)
     by = np.lexsort([*order[::-1], *keys[::-1]])
     same = np.ones(len(by) - 1, bool)
     for k in keys:
         same &= k[by][1:] == k[by][:-1]
-    later = np.zeros(len(by), bool)
-    later[by[1:]] = same
-    return later
+    same = np.append(False, same)
+    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(by))))
+    moved = np.zeros(len(by), bool)
+    for o in order:
+        moved |= o[by] != o[by][first]
+    later, again = np.zeros(len(by), bool), np.zeros(len(by), bool)
+    later[by], again[by] = same & moved, same & ~moved
+    return later, again
 
 
 def _ids(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -159,11 +164,13 @@ def _runs(window: int, hot: np.ndarray):
                 continue
             row, h, r, s, m, number = map(np.concatenate, zip(*got, strict=True))
             # Repeats inside the batch are settled here, so that a hot content sends one row a batch; the others go to keys of their own
-            later = _first_of([h, r], [values[row], x[row], s])
+            later, again = _first_of([h, r], [values[row], x[row], s])
             # neighbouring repeated windows of one run go as one row
             joined = np.append(False, later[1:] & later[:-1] & (number[1:] >= 0) & (number[1:] == number[:-1]))
             lead = np.flatnonzero(~joined)
-            m = np.where(later, -np.add.reduceat(m, lead)[np.cumsum(~joined) - 1], m)[lead].astype(np.int32)
+            m = np.where(later, -np.add.reduceat(m, lead)[np.cumsum(~joined) - 1], m).astype(np.int32)
+            lead = lead[~again[lead]]  # an equal row's places are those of the first
+            m = m[lead]
             row, h, r, s, later = row[lead], h[lead], r[lead], s[lead], later[lead]
             h = np.where(later, tb.mix64((values[row] * 31 + s).view(tb.U64)).view(np.int64), h)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(x[row]), *map(pa.array, (h, r, s, m))], ["id", "x", "h", "r", "s", "m"])
@@ -198,7 +205,8 @@ def _windows(window: int):
             if not got:
                 continue
             row, one, two, s = map(np.concatenate, zip(*got, strict=True))
-            seen = _first_of([one, two], [values[row], x[row], s])
+            seen, again = _first_of([one, two], [values[row], x[row], s])
+            row, one, two, s, seen = (v[~again] for v in (row, one, two, s, seen))
             one = np.where(seen, tb.mix64((values[row] * 31 + s).view(tb.U64)).view(np.int64), one)
             yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(x[row]), pa.array(one), pa.array(two), pa.array(s), pa.array(seen)], ["id", "x", "w1", "w2", "s", "seen"])
 
@@ -280,19 +288,19 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     anchor = Window.partitionBy("h")
     content = Window.partitionBy("h", "r").orderBy(F.asc_nulls_first("id"), "x", "s")
     flagged = (
-        runs.withColumns({"n": F.row_number().over(content)})
+        runs.withColumns({"n": F.dense_rank().over(content)})  # equal rows are one place
         .withColumns({"low": F.min("r").over(anchor), "high": F.max("r").over(anchor)})
         .withColumn("repeated", (F.col("m") < 0) | (F.col("n") > 1))
         .filter(F.col("repeated") | (F.col("low") < F.col("high")))
     )
     code = F.col("s").cast("long") * 32 + F.abs("m") * 2 + F.when(F.col("repeated"), 0).otherwise(1)
-    spans = flagged.groupBy("id", "x").agg(F.collect_list(code).alias("spans"), F.max(~F.col("repeated")).alias("edge")).checkpoint()
+    spans = flagged.groupBy("id", "x").agg(F.collect_set(code).alias("spans"), F.max(~F.col("repeated")).alias("edge")).checkpoint()
     # Both joins take all columns of the texts' side, so that Spark shuffles it once and reads that exchange twice
     names = whole.columns
     edges = spans.filter("edge").select(F.col("id").alias("i"), F.col("x").alias("j"), "spans")
     windows = whole.join(edges, F.col("id").eqNullSafe(F.col("i")) & (F.col("x") == F.col("j"))).select(*names, "spans").mapInArrow(_windows(window), _WINDOWS)
     place = Window.partitionBy("w1", "w2").orderBy(F.asc_nulls_first("id"), "x", "s")
-    late = windows.withColumn("n", F.row_number().over(place)).filter("seen or n > 1").groupBy("id", "x").agg(F.collect_set(F.col("s").cast("long")).alias("late"))
+    late = windows.withColumn("n", F.dense_rank().over(place)).filter("seen or n > 1").groupBy("id", "x").agg(F.collect_set(F.col("s").cast("long")).alias("late"))
     late = late.select(F.col("id").alias("i2"), F.col("x").alias("j2"), "late")
     spans = spans.select(F.col("id").alias("i"), F.col("x").alias("j"), "spans")
     joined = (

@@ -66,6 +66,23 @@ def test_repeated_rows_null_ids_and_empty(spark):
     assert substring_dedup(docs(spark, [(1, t)]), carry=["x", "id"]).columns == ["doc_id", "n_words", "n_removed", "kept", "x", "id"]
 
 
+@pytest.mark.parametrize("least", [50, 2])
+@pytest.mark.parametrize("parts", [1, 7])
+def test_equal_rows_are_one_place(spark, parts, least, monkeypatch):
+    monkeypatch.setattr(substring_dedup_module, "HOT_LEAST", least)
+    monkeypatch.setattr(substring_dedup_module, "HOT_SHARE", 0)
+    r = random.Random(parts)
+    passage = " ".join(f"p{r.randint(0, 9999)}" for _ in range(40))
+    own = lambda: " ".join(f"o{r.randint(0, 9999)}" for _ in range(25))
+    once = [(i, " ".join([own(), passage, own(), "For " * 30, own()])) for i in range(8)] + [(None, own() + " " + passage)]
+    rows = once + [row for row in once for _ in range(2)]
+    # every copy of a row loses what the row loses where it stands once, and the first documents lose only what they repeat themselves
+    expected = sorted(brute([(i if i is not None else -1, t) for i, t in once]) * 3)
+    got = sorted((-1 if i is None else i, *rest) for i, *rest in ((x.doc_id, x.n_words, x.n_removed, x.kept) for x in substring_dedup(docs(spark, rows).repartition(parts)).collect()))
+    assert got == expected
+    assert expected[0][2] == 0 and expected[3][2] < expected[3][1]
+
+
 def test_window_limits(spark):
     with pytest.raises(ValueError):
         substring_dedup(docs(spark, []), window=23)
