@@ -198,7 +198,7 @@ def question_format(spark, sf_dir):
 
 @_query()
 def near_dup_pairs(spark, sf_dir):
-    return dedup.near_pairs(tables.qa_docs(spark, sf_dir).filter(F.length("question") <= 500))
+    return dedup.near_pairs(tables.qa_docs(spark, sf_dir))
 
 
 @_query()
