@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sievemill.config import Config
@@ -169,11 +169,32 @@ _ISSUES = f"""array_to_string(list_concat(
 _OTHER = "other as (select doc_id, text answer, coalesce(lag(text) over (order by doc_id), '') other from documents)"
 
 
+#: Ids of a range within which the preceding id is looked up; ranges, at most.
+ID_RANGE, ID_RANGES = 50_000, 1000
+
+
+def _preceding(ids: DataFrame) -> DataFrame:
+    """(doc_id, before): each distinct id with the next smaller one, null for the smallest. Ids are taken in ranges, each with the largest id below it."""
+    n = min(ID_RANGES, ids.count() // ID_RANGE + 1)
+    bounds = ids.approxQuantile("doc_id", [k / n for k in range(1, n)], 0.5 / n) if n > 1 else []
+    below = F.array(*map(F.lit, bounds)).cast("array<double>")
+    placed = ids.distinct().withColumn("range", F.size(F.filter(below, lambda b: b <= F.col("doc_id").cast("double"))))
+    largest = sorted((r["range"], r["largest"]) for r in placed.groupBy("range").agg(F.max("doc_id").alias("largest")).collect())  # ID_RANGES rows at most
+    carried = [(r, low) for (r, _), (_, low) in zip(largest[1:], largest, strict=False)]
+    carry = F.broadcast(ids.sparkSession.createDataFrame(carried, "range int, carried long"))
+    own = F.lag("doc_id").over(Window.partitionBy("range").orderBy("doc_id"))
+    return placed.withColumn("own", own).join(carry, "range", "left").select("doc_id", F.coalesce("own", "carried").alias("before"))
+
+
 def _answers(spark, sf_dir) -> DataFrame:
+    """doc_id, answer, other: the text of the row before by id, and by text among rows that repeat an id; '' for the first. Ids are never null."""
     d = tables.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("answer"))
-    # ids are consecutive, so the neighbour is found by a join and not by a window over all rows
-    before = d.select((F.col("doc_id") + 1).alias("doc_id"), F.col("answer").alias("other"))
-    return d.join(before, "doc_id", "left").withColumn("other", F.coalesce("other", F.lit("")))
+    same = Window.partitionBy("doc_id").orderBy("answer")
+    rows = d.withColumns({"place": F.row_number().over(same), "copy": F.lag("answer").over(same)})
+    last = d.groupBy("doc_id").agg(F.max("answer").alias("last")).withColumnRenamed("doc_id", "before")
+    before = _preceding(d.select("doc_id")).join(last, "before").select("doc_id", "last")
+    other = F.when(F.col("place") > 1, F.col("copy")).otherwise(F.col("last"))
+    return rows.join(before, "doc_id", "left").select("doc_id", "answer", F.coalesce(other, F.lit("")).alias("other"))
 
 
 @_query(f"with {_OTHER} select doc_id, {_ISSUES} as issues from other")

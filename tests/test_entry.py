@@ -47,6 +47,16 @@ def test_near_pairs_of_long_questions(spark, tmp_path):
     assert sorted(map(tuple, core.queries()["near_dup_pairs"](spark, str(tmp_path)).collect())) == [(1, 3), (1, 4), (3, 4)]
 
 
+@pytest.mark.parametrize("size", [2, 50_000])
+def test_grounding_where_ids_have_gaps_and_repeat(spark, tmp_path, monkeypatch, size):
+    monkeypatch.setattr(core, "ID_RANGE", size)
+    rows = [(-7, "has 10"), (3, "says 10 and 77"), (4, "then 77"), (90, "now 77, 10"), (90, "or 10"), (10**12, "or 10 and 99"), (10**12 + 5, "at 99")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r.doc_id, r.issues) for r in core.queries()["grounding"](spark, str(tmp_path)).collect())
+    assert got == sorted([(-7, "10"), (3, "77"), (4, ""), (90, "10"), (90, ""), (10**12, "99"), (10**12 + 5, "")])
+    assert tuple(core.queries()["grounding_rate"](spark, str(tmp_path)).first())[:2] == (3, 4)
+
+
 def test_entry_is_the_training_set(spark):
     df = __spark_entry__.entry(spark)
     assert df.columns == ["qa_id", "messages"]
