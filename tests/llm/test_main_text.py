@@ -23,6 +23,16 @@ def test_main_text(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("attributes", ['title="the hidden gem"', "data-x='a role=menu b'", 'title = "see class=sidebar there"', "data-class=sidebar", 'alt=x title="id=footer hidden"'])
+def test_words_of_values_are_not_attributes(attributes):
+    assert main_text(f"<article><section {attributes}><p {attributes}>One, two.</p></section><p>Three, four.</p></article>") == "One, two.\nThree, four."
+
+
+@pytest.mark.parametrize("attributes", ["hidden", "HIDDEN=''", 'title="a b" hidden', "title='x'hidden", 'title="hidden" class="big sidebar"', "role = menu", "aria-hidden=true"])
+def test_attributes_still_leave_elements_out(attributes):
+    assert main_text(f"<article><p {attributes}>One, two.</p><p>Three, four.</p></article>") == "Three, four."
+
+
 def test_deep_and_long_pages_end():
     assert main_text("<div>" * 5000 + "x" + "</div>" * 5000) == "x"
     assert len(main_text("<article>" + "<p>word, word.</p>" * 20000 + "</article>").split("\n")) == 20000
