@@ -98,6 +98,10 @@ class Router:
         return np.argsort(-self.logits(x), axis=1, kind="stable")[:, :m]
 
 
+#: With fewer held-out vectors recall is not measured well, and all parts are read.
+HELD_LEAST = 30
+
+
 def fit(x: np.ndarray, k: int = 10, parts: int = 16, hidden: int = 128, epochs: int = 40, recall: float = 0.95, seed: int = 7) -> Router:
     """Fits the partition and the network on a sample, and finds how many parts to visit."""
     rng = np.random.default_rng(seed)
@@ -142,7 +146,7 @@ def fit(x: np.ndarray, k: int = 10, parts: int = 16, hidden: int = 128, epochs:
     needed = rank[np.arange(len(ask))[:, None], home[graph[ask]]]
     for m in range(1, parts + 1):
         got = float((needed < m).mean()) if len(ask) else 1.0
-        if got >= recall or m == parts:
+        if len(ask) >= HELD_LEAST and got >= recall or m == parts:
             r.probes, r.recall = m, got
             break
     return r
@@ -215,14 +219,25 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     kind = "id long, v array<double>, parts array<int>"
     placed = rows.select("id", "v").mapInArrow(place(1), kind).select("id", "v", F.col("parts")[0].alias("part"))
     sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a part
+    size = np.array([sizes.get(p, 0) for p in range(router.parts)])
+
+    def visit(batches):
+        """The parts of each query: those that recall asks for, and the next ones until k candidates besides rows of its id are sure."""
+        for batch in batches:
+            order = router.best(matrix(batch.column("v")), router.parts).astype(np.int32)
+            enough = size[order].cumsum(1) >= k + batch.column("copies").to_numpy(zero_copy_only=False)[:, None]
+            n = np.maximum(np.where(enough.any(1), enough.argmax(1) + 1, router.parts), router.probes)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array([o[:m] for o, m in zip(order, n, strict=True)], pa.list_(pa.int32()))], ["id", "v", "parts"])
+
     asked = rows.filter(F.col("id") % every == 0)
+    copies = asked.groupBy("id").agg(F.count("*").alias("copies"))
     query_blocks = -(-asked.count() // QUERIES) or 1
     blocks = F.lit(1)
     for p, n in sizes.items():
         blocks = F.when(F.col("part") == p, -(-n // BLOCK)).otherwise(blocks)
     numbers = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
     data = placed.select("id", "v", "part", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), numbers(F.lit(query_blocks)).alias("turn"), F.lit(False).alias("asks"))
-    queries = asked.select("id", "v").mapInArrow(place(router.probes), kind).select("id", "v", F.explode("parts").alias("part"))
+    queries = asked.select("id", "v").join(copies, "id").mapInArrow(visit, kind).select("id", "v", F.explode("parts").alias("part"))
     queries = queries.select("id", "v", "part", numbers(blocks).alias("block"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("turn"), F.lit(True).alias("asks"))
     found = data.union(queries).groupBy("part", "block", "turn").applyInArrow(_top(k), schema)
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")

@@ -71,6 +71,13 @@ def test_search_equals_brute_force_where_all_parts_are_read(spark, monkeypatch):
     assert [f[3] for f in found] == pytest.approx([w[3] for w in sorted(want)], abs=1e-12)
 
 
+@pytest.mark.parametrize("n,k", [(70, 10), (400, 60)])
+def test_each_query_gets_k_rows_or_all(spark, n, k):
+    x = vectors(3, n, groups=16, spread=0.01)
+    got = ann.search(frame(spark, [(i, x[i].tolist()) for i in range(n)]), k=k, every=1, recall=0.0).groupBy("query_id").count().collect()
+    assert sorted((r["query_id"], r["count"]) for r in got) == [(i, min(k, n - 1)) for i in range(n)]
+
+
 def test_recall_of_routing(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding").collect()
     ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
