@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from sievemill.llm import textbytes as tb
 from sievemill.llm.components import components
+from sievemill.llm.workers import lean, lean_group
 
 #: Shingles of a block of bucket members, about.
 BLOCK_SHINGLES = 1_500_000
@@ -104,7 +105,7 @@ def _signatures(k: int, bands: int, rows: int):
             n = np.concatenate(n_shingles) if n_shingles else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n.astype(np.int64)), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "print", "keys"])
 
-    return run
+    return lean(run)
 
 
 def _full_sets(k: int):
@@ -116,9 +117,10 @@ def _full_sets(k: int):
                 got += [sets[a:b].tobytes() for a, b in zip(limits[:-1], limits[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(got, pa.binary())], ["id", "members"])
 
-    return run
+    return lean(run)
 
 
+@lean
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each shingle of a set with the set's id."""
     for batch in batches:
@@ -148,9 +150,10 @@ def _confirm(threshold: int):
             mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
 
-    return run
+    return lean(run)
 
 
+@lean
 def _without_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sets without the shingles that no other open document holds."""
     for batch in batches:
@@ -206,7 +209,7 @@ def _compare(threshold: int):
                     a.append(int(ids[i])), b.append(int(ids[j]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return run
+    return lean_group(run)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:

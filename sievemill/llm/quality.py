@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from sievemill.llm import boosting
 from sievemill.llm import textbytes as tb
+from sievemill.llm.workers import lean
 
 #: Labelled rows that a model is fitted on, at most.
 SAMPLE = 20_000
@@ -102,7 +103,7 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(list(statistics(batch.column("text"))), pa.list_(pa.float64()))], ["label", "x"])
 
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = docs.join(F.broadcast(known), "id").select("id", "text", "label").mapInArrow(run, "label int, x array<double>").toArrow()
+    rows = docs.join(F.broadcast(known), "id").select("id", "text", "label").mapInArrow(lean(run), "label int, x array<double>").toArrow()
     y = rows.column("label").to_numpy().astype(float)
     x = np.array(rows.column("x").to_pylist(), float).reshape(len(y), len(FEATURES))
     order = np.lexsort([*x.T, y])  # the same rows give the same trees in whatever order they arrive
@@ -120,7 +121,7 @@ def with_scores(df: DataFrame, trees: boosting.Trees, text_col: str = "text", sc
             score = trees.score(statistics(batch.column(text_col).fill_null("")))
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in kept), pa.array(score)], [*(f.name for f in kept), score_col])
 
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField(score_col, T.DoubleType())]))
+    return df.mapInArrow(lean(run), T.StructType([*kept, T.StructField(score_col, T.DoubleType())]))
 
 
 def op1_quality_classifier(spark, sf_dir: str) -> DataFrame:

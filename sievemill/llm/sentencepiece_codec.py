@@ -9,17 +9,24 @@ units of a batch are encoded together, in flat numpy arrays of symbols:
 * the pairs of that rank merge, the leftmost first and none overlapping, in all units at once, and the arrays
   are compacted. Where the merged piece could start a pair of the same or a smaller rank, only the unit's
   leftmost one merges in this round, as the sequential algorithm would;
+* long units are cut, from round to round, between neighbours that no piece holds side by side: whatever
+  spans such a place would hold both of them whole, so no merge ever crosses it. Each part then goes by its own
+  smallest rank, and a text without spaces needs few rounds too;
 * units without a pair leave. Characters that are no pieces are bytes from the start, which merge with nothing.
 
+Models that normalise texts otherwise, or are no BPE models, are refused: probes must encode as the library does.
+
 Null and empty texts have the end id only. Characters outside the vocabulary decode from their bytes. Null
-ids, repeated rows, ties and long texts without spaces need no special case. An empty table gives an empty
-result.
+ids, repeated rows and ties (equal ranks: the leftmost pair first) need no special case. Very long texts are
+encoded in slices, cut before a space; only what stands between two spaces is held at once. Columns of any
+names may stand beside the two that are read, and are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +35,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievemill.llm.workers import lean
+
 SPACE_MARK = "▁"
-#: Units whose encodings a worker keeps, and bytes of text that it encodes at once, about.
-KEPT_UNITS, CHUNK_BYTES = 250_000, 1 << 21
+#: Units whose encodings a worker keeps, at most, their length, at most, and bytes of text that it encodes at once, about.
+KEPT_UNITS, KEPT_LENGTH, CHUNK_BYTES = 150_000, 32, 1 << 20
+#: Units of so many symbols are cut between neighbours that no piece holds, every so many rounds.
+LONG_UNIT, CUT_ROUNDS = 64, 8
+#: Texts whose encoding shows a normaliser, prefix or segmentation that this module does not implement.
+PROBES = ["a", " a", "a  b ", "Ａﬁ①", "é e\u0301", "x\ty\nz", "\u00a0\u3000.", "the quick brown fox jumps", "internationalisation", "日本語 \U0001f600", "aaaaaaa bbbb"]
 _NONE = np.iinfo(np.int64).max
 _UNIT = re.compile(" +[^ ]*")
+_GAP = re.compile("(?<=[^ ▁])[ ▁]")
 
 
 class PairTable:
@@ -118,6 +132,22 @@ class BpeCodec:
         # each id's decimal digits with a space after them, and its bytes
         self.digits = Ragged([b"%d " % i for i in range(n)])
         self.text = Ragged(self.bytes_of)
+        self._beside: np.ndarray | None = None
+        if any(self.encode(t) != [*sp.encode(t), self.eos] for t in PROBES):
+            raise ValueError(f"{path} is no BPE model with a dummy prefix, identity normalisation and bytes for unknown characters")
+
+    def beside(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether some piece holds the two symbols side by side. The table is made when first asked for."""
+        if self._beside is None:
+            keys = array("q")
+            for p in self.ids:
+                for k in range(1, len(p)):
+                    before = [a for i in range(k) if (a := self.ids.get(p[i:k])) is not None]
+                    after = [b for j in range(k + 1, len(p) + 1) if (b := self.ids.get(p[k:j])) is not None]
+                    keys.extend(a * self.n + b for a in before for b in after)
+            self._beside = np.unique(np.frombuffer(keys, np.int64)) if keys else np.zeros(1, np.int64)
+        key = left * self.n + right
+        return self._beside[np.minimum(np.searchsorted(self._beside, key), len(self._beside) - 1)] == key
 
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of normalised units (space marks written as spaces), one after the other, and the units' limits in them."""
@@ -134,9 +164,20 @@ class BpeCodec:
             start = np.cumsum(size) - size
             symbols = np.repeat(symbols, size)
             symbols[np.repeat(start[odd], size[odd]) + np.concatenate([np.arange(len(x)) for x in spelled])] = np.concatenate(spelled)
-        done_symbols, done_units = [], []
+        # parts of units that merge on their own, and each symbol's place; merged ones keep that of their left end
+        part, place = unit.astype(np.int32), np.arange(len(symbols), dtype=np.int32)
+        all_units, total = unit, len(symbols)
+        done_symbols, done_places, turn = [], [], 0
         while len(symbols):
-            last = np.append(unit[1:] != unit[:-1], True)
+            last = np.append(part[1:] != part[:-1], True)
+            if turn % CUT_ROUNDS == 0:
+                begin = np.flatnonzero(np.append(True, last[:-1]))
+                count = np.diff(np.append(begin, len(symbols)))
+                if count.max() >= LONG_UNIT:
+                    long_ = np.flatnonzero(np.repeat(count >= LONG_UNIT, count) & ~last)
+                    last[long_[~self.beside(symbols[long_], symbols[long_ + 1])]] = True
+                    part = np.cumsum(last, dtype=np.int32) - last
+            turn += 1
             made = self.pairs.find(symbols * self.n + np.append(symbols[1:], 0))
             made[last] = -1
             rank = np.where(made >= 0, self.rank[made], _NONE)
@@ -146,28 +187,32 @@ class BpeCodec:
             going = least < _NONE
             if not going.all():
                 active = np.repeat(going, count)
-                done_symbols.append(symbols[~active]), done_units.append(unit[~active])
-                symbols, unit, rank, made = symbols[active], unit[active], rank[active], made[active]
+                done_symbols.append(symbols[~active]), done_places.append(place[~active])
+                symbols, part, place, rank, made = symbols[active], part[active], place[active], rank[active], made[active]
                 least, count = least[going], count[going]
                 if not len(symbols):
                     break
             at = np.flatnonzero(rank == np.repeat(least, count))
             # of overlapping places, which are neighbours, every second one from the left merges
-            new = np.append(True, (at[1:] != at[:-1] + 1) | (unit[at[1:]] != unit[at[:-1]]))
+            new = np.append(True, (at[1:] != at[:-1] + 1) | (part[at[1:]] != part[at[:-1]]))
             run = np.flatnonzero(new)
             offset = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
-            first = np.append(True, unit[at[1:]] != unit[at[:-1]])
-            careful = np.zeros(len(units), bool)
-            careful[unit[at[~self.safe[made[at]]]]] = True
-            at = at[np.where(careful[unit[at]], first, offset % 2 == 0)]
+            # where the merged piece is not safe, only the part's first place
+            take, unsafe = offset % 2 == 0, ~self.safe[made[at]]
+            if unsafe.any():
+                first = np.append(True, part[at[1:]] != part[at[:-1]])
+                careful = np.logical_or.reduceat(unsafe, np.flatnonzero(first))
+                take = np.where(careful[np.cumsum(first) - 1], first, take)
+            at = at[take]
             symbols[at] = made[at]
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
-            symbols, unit = symbols[keep], unit[keep]
-        symbols = np.concatenate(done_symbols) if done_symbols else symbols
-        unit = np.concatenate(done_units) if done_units else unit
-        order = np.argsort(unit, kind="stable")
-        return symbols[order].astype(np.int32), np.searchsorted(unit[order], np.arange(len(units) + 1))
+            symbols, part, place = symbols[keep], part[keep], place[keep]
+        out = np.full(total, -1, np.int32)
+        for k, v in zip([*done_places, place], [*done_symbols, symbols], strict=True):
+            out[k] = v
+        kept = out >= 0
+        return out[kept], np.append(0, np.cumsum(np.bincount(all_units[kept], minlength=len(units))))
 
     @staticmethod
     def units(text: str) -> list[str]:
@@ -258,61 +303,111 @@ def _occurrences(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return pa.array([u for us in lists for u in us], pa.string()), np.cumsum([0, *map(len, lists)])
 
 
-def _encoded(path: str, with_ids: bool):
-    def encode(c: BpeCodec, texts: pa.Array, seen: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
+class Encoder:
+    """Encodes texts of a worker one after the other; keeps the ids of short units that it has met."""
+
+    def __init__(self, c: BpeCodec):
+        self.c, self.seen = c, {}
+
+    def ids_of(self, names: list[str]) -> list[bytes]:
+        """The ids (int32) of each of these distinct units, written without their last space."""
+        new = [u for u in names if u not in self.seen]
+        ids, limits = self.c.encode_units([" " + u for u in new])
+        data, at = ids.tobytes(), (limits * 4).tolist()
+        fresh = {u: data[a:b] for u, a, b in zip(new, at, at[1:], strict=False)}
+        out = [self.seen.get(u) or fresh[u] for u in names]
+        if len(self.seen) + len(fresh) > KEPT_UNITS:
+            self.seen.clear()
+        if len(fresh) <= KEPT_UNITS:
+            self.seen.update((u, b) for u, b in fresh.items() if len(u) <= KEPT_LENGTH)
+        return out
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts, each with the end id, and the texts' limits in them."""
-        flat, rows = _occurrences(texts)
+        return self.units(*_occurrences(texts))
+
+    def units(self, flat: pa.Array, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As texts, of texts that are cut into units already."""
         coded = flat.dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        new = [u for u in names if u not in seen]
-        ids, limits = c.encode_units([" " + u for u in new])
-        if len(seen) + len(new) > KEPT_UNITS:
-            known = {u: seen[u] for u in names if u in seen}
-            seen.clear()
-            seen.update(known)
-        data = ids.tobytes()
-        seen.update(zip(new, [data[a:b] for a, b in zip((limits[:-1] * 4).tolist(), (limits[1:] * 4).tolist(), strict=True)], strict=True))
-        parts = [seen[u] for u in names]
+        parts = self.ids_of(coded.dictionary.to_pylist())
         unit_ids = np.frombuffer(b"".join(parts), np.int32)
         size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         start = np.cumsum(size) - size
-        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        which = coded.indices.to_numpy(zero_copy_only=False)
         # places of the texts' ids, with one more for the end of each text
         length = size[which]
         ends = np.concatenate([[0], np.cumsum(length)])
         out_rows = ends[rows] + np.arange(len(rows))
         at = np.repeat(start[which] - ends[:-1], length) + np.arange(ends[-1])
-        out = np.full(out_rows[-1], c.eos, np.int32)
+        out = np.full(out_rows[-1], self.c.eos, np.int32)
         body = np.ones(len(out), bool)
         body[out_rows[1:] - 1] = False
         out[body] = unit_ids[at]
         return out, out_rows
 
+    def long_text(self, text: str) -> Iterator[np.ndarray]:
+        """Ids of one long text in parts, the end id last."""
+        for low, high in slices(text):
+            units = _UNIT.findall((" " if low == 0 else "") + text[low:high].replace(SPACE_MARK, " "))
+            ids, _ = self.units(pa.array([u[1:] for u in units], pa.string()), np.array([0, len(units)]))
+            yield ids if high == len(text) else ids[:-1]
+
+    def digested(self, texts: pa.Array, with_ids: bool) -> tuple[list, list, list, list]:
+        """Of each text: the number of ids, the digest of their digits, the decoded text, and the ids if asked for."""
+        ids, rows = self.texts(texts)
+        digits, ends = self.c.digits.take(ids, rows)
+        digits = digits.tobytes()
+        shas = [hashlib.sha256(digits[a : b - 1]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        spelled, ends = self.c.text.take(ids, rows)
+        spelled = spelled.tobytes()
+        back = [spelled[a + (spelled[a : a + 1] == b" ") : b].decode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return np.diff(rows).tolist(), shas, back, [ids[a:b] for a, b in zip(rows[:-1], rows[1:], strict=True)] if with_ids else []
+
+    def digested_long(self, text: str, with_ids: bool) -> tuple[list, list, list, list]:
+        """As digested, of one long text, part by part."""
+        n, sha, back, every, tail = 0, hashlib.sha256(), [], [], b""
+        for ids in self.long_text(text):
+            limits = np.array([0, len(ids)])
+            digits = tail + self.c.digits.take(ids, limits)[0].tobytes()
+            sha.update(digits[:-1])
+            tail = b" "  # between two parts
+            back.append(self.c.text.take(ids, limits)[0].tobytes())
+            n += len(ids)
+            if with_ids:
+                every.append(ids)
+        spelled = b"".join(back)
+        return [n], [sha.hexdigest()], [spelled[spelled[:1] == b" " :].decode()], [np.concatenate(every)] if with_ids else []
+
+
+def slices(text: str) -> Iterator[tuple[int, int]]:
+    """Limits of slices of a text of CHUNK_BYTES characters or more, each but the first from a run of spaces on."""
+    low = 0
+    while low < len(text):
+        cut = _GAP.search(text, low + CHUNK_BYTES)
+        high = cut.start() if cut else len(text)
+        yield low, high
+        low = high
+
+
+def _encoded(path: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path)
-        seen: dict[str, bytes] = {}
+        encoder = Encoder(codec(path))
         for batch in batches:
             texts = batch.column("text")
-            size = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+            each = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+            size = np.cumsum(each)
             at = 0
             while at < len(texts):
                 to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + CHUNK_BYTES, "right")))
-                ids, rows = encode(c, texts.slice(at, to - at), seen)
-                digits, ends = c.digits.take(ids, rows)
-                digits = digits.tobytes()
-                shas = [hashlib.sha256(digits[a : b - 1]).hexdigest() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-                spelled, ends = c.text.take(ids, rows)
-                spelled = spelled.tobytes()
-                back = [spelled[a + (spelled[a : a + 1] == b" ") : b].decode() for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
-                arrays = [batch.column("id").slice(at, to - at), pa.array(np.diff(rows).astype(np.int64)), pa.array(shas, pa.string()), pa.array(back, pa.string())]
-                names = ["id", "n_tokens", "ids_sha256", "decoded"]
-                if with_ids:
-                    arrays.append(pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(ids)))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(arrays, names)
+                if each[at] > 2 * CHUNK_BYTES:
+                    got = encoder.digested_long(texts[at].as_py(), with_ids)
+                else:
+                    got = encoder.digested(texts.slice(at, to - at), with_ids)
+                kinds = [pa.int64(), pa.string(), pa.string(), *[pa.list_(pa.int32())] * with_ids]
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(at, to - at), *(pa.array(v, k) for v, k in zip(got, kinds, strict=False))], ["id", "n_tokens", "ids_sha256", "decoded", *["ids"] * with_ids])
                 at = to
 
-    return run
+    return lean(run)
 
 
 def encode_documents(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

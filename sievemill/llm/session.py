@@ -10,15 +10,15 @@ from sievemill.session import ship
 
 
 #: Bytes of an Arrow batch: what a worker holds at once of a partition of any size.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 _SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def with_checkpoints(spark: SparkSession) -> SparkSession:
     """Takes the shared folder of spark.checkpoint.dir; only where none is set (local runs), one of this machine.
-    Also bounds the bytes of Arrow batches, unless the application sets them."""
+    Also bounds the bytes of Arrow batches, unless the application or the session sets them."""
     sc = ship(spark).sparkContext
-    if sc.getConf().get(_SETTING) is None:  # not chosen by the user
+    if spark.conf.getAll.get(_SETTING) is None:  # not chosen by the user, for the application or for the session
         spark.conf.set(_SETTING, BATCH_BYTES)
     if sc.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")

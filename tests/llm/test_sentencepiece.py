@@ -49,3 +49,41 @@ def test_documents(spark, library, monkeypatch):
         assert (str(r.doc_id), r.ids, r.n_tokens, r.decoded) == (i, ids, len(ids), library.decode(ids))
         assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert codec.digests(docs(spark, []), PATH).count() == 0
+
+
+def test_long_texts_without_spaces(library):
+    c, r = codec.codec(PATH), random.Random(7)
+    prose = "".join(r.choice(["the", "tion", "internal", "er", "qu", "x", "ing", "日本", "zz", "0"]) for _ in range(60_000))
+    letters = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(100_000))
+    for text in (prose, letters, "a" * 100_000):
+        assert c.encode(text) == library.encode(text, add_eos=True)
+
+
+def test_long_texts_go_in_slices(library, monkeypatch):
+    monkeypatch.setattr(codec, "CHUNK_BYTES", 50)
+    e, r = codec.Encoder(codec.codec(PATH)), random.Random(8)
+    for n in range(300):
+        t = "".join(r.choice(ALPHABET) for _ in range(r.randint(150, 400))) + r.choice(["", " ", "▁", "  "])
+        ids = library.encode(t, add_eos=True)
+        n_tokens, sha, back, every = e.digested_long(t, True)
+        assert len(list(codec.slices(t))) > 2
+        assert (n_tokens, every[0].tolist(), back) == ([len(ids)], ids, [library.decode(ids)])
+        assert sha == [hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()]
+
+
+@pytest.mark.parametrize("old,new", [(b"identity\x12\x00\x18\x01", b"identity\x12\x00\x18\x00"), (b"identity\x12\x00\x18\x01 \x00", b"identity\x12\x00\x18\x01 \x01")])
+def test_other_models_are_refused(tmp_path, old, new):
+    model = open(PATH, "rb").read()
+    assert old in model  # no dummy prefix; extra white space removed
+    path = tmp_path / "other.model"
+    path.write_bytes(model.replace(old, new))
+    with pytest.raises(ValueError, match="no BPE model"):
+        codec.BpeCodec(str(path))
+
+
+def test_caches_stay_bounded(monkeypatch):
+    monkeypatch.setattr(codec, "KEPT_UNITS", 50)
+    e = codec.Encoder(codec.codec(PATH))
+    for k in range(20):
+        e.ids_of([f"unit{k}x{i}" for i in range(40)] + ["y" * 100 + str(k)])
+        assert len(e.seen) <= 50 and max(map(len, e.seen)) <= codec.KEPT_LENGTH
