@@ -15,13 +15,16 @@ choice. Runs are joined by anchor:
 
 * anchors that head very many runs of a sample (a passage in many documents, with other words around it each time)
   are hot: their runs are compared window by window from the start, each under its own hash, so that no single
-  key gathers them. The sample decides on the route only; either route finds the same repeats.
+  key gathers them. The sample, which grows with the corpus, decides on the route only; either route finds the
+  same repeats.
 
 The union of all is exactly the set of repeated windows; its maximal intervals are the removed spans.
 
 Null texts have no words. Rows that repeat an id with the same text are one document and get the same
-result; rows with one id and different texts are different documents, ordered by a hash of the text. A
-null id sorts first. An empty table gives an empty result. Extra columns are left out unless they are carried.
+result; rows with one id and different texts are different documents, told apart and ordered by 128 bits of
+the text's hash. Rows with a null id are told apart likewise, and sort first. Ties cannot occur: places differ in
+document or start. Texts of any length are read whole, one at a time if they are long. An empty table gives an
+empty result. Extra columns, whatever their names, are left out unless they are carried.
 """
 
 from __future__ import annotations
@@ -30,18 +33,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemill.llm import textbytes as tb
+from sievemill.llm.workers import lean
 
 ANCHOR_WORDS = 8
-#: An anchor is hot if it heads so many runs, and so large a share of the documents, of a sample of so many documents.
-HOT_LEAST, HOT_SHARE, HOT_SAMPLE = 50, 0.005, 10_000
+#: An anchor is hot if it heads so many runs of a sample: of one document in so many, within limits.
+HOT_LEAST, HOT_EVERY, HOT_SAMPLE = 50, 50, (10_000, 500_000)
 _SECOND_BASE = 0xA24BAED4963EE407
-_RUNS = "id long, x int, h long, r long, s int, m int"
-_WINDOWS = "id long, x int, w1 long, w2 long, s int, seen boolean"
+_RUNS = "id long, x long, y long, h long, r long, s int, m int"
+_WINDOWS = "id long, x long, y long, w1 long, w2 long, s int, seen boolean"
 
 
 def _rightmost_minimum(key: np.ndarray, width: int) -> np.ndarray:
@@ -87,11 +91,21 @@ def _first_of(keys: list[np.ndarray], order: list[np.ndarray]) -> tuple[np.ndarr
     return later, again
 
 
-def _ids(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The id column, its values for sorting (null first), and the text hashes."""
+def _ids(batch: pa.RecordBatch) -> tuple[pa.RecordBatch, list[np.ndarray]]:
+    """The columns that name a document, and values to sort documents by (null ids first)."""
+    names = batch.select(["id", "x", "y"])
     ids = batch.column("id")
-    values = ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-    return ids, values, batch.column("x").to_numpy(zero_copy_only=False)
+    return names, [ids.is_valid().to_numpy(zero_copy_only=False), *(names.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("id", "x", "y"))]
+
+
+def _named(names: pa.RecordBatch, row: np.ndarray, columns: dict[str, np.ndarray]) -> pa.RecordBatch:
+    """The names of documents, by row, with further columns."""
+    return pa.RecordBatch.from_arrays([*names.take(pa.array(row)).columns, *map(pa.array, columns.values())], [*names.schema.names, *columns])
+
+
+def _apart(row: np.ndarray, values: list[np.ndarray], s: np.ndarray) -> np.ndarray:
+    """A key of its own, nearly, for each place."""
+    return tb.mix64((values[1][row] * 31 + values[2][row] + s).view(tb.U64)).view(np.int64)
 
 
 def _chosen(c: tb.Chunk, window: int):
@@ -117,7 +131,7 @@ def _anchors(window: int):
                 h, n = np.unique(anchors[chosen[new]].view(np.int64), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
 
-    return run
+    return lean(run)
 
 
 def hot_anchors(docs: DataFrame, window: int) -> np.ndarray:
@@ -125,16 +139,16 @@ def hot_anchors(docs: DataFrame, window: int) -> np.ndarray:
     total = docs.count()
     if not total:
         return np.zeros(0, np.int64)
-    counted = docs.sample(min(1.0, HOT_SAMPLE / total), seed=1).select("text").mapInArrow(_anchors(window), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    least = max(HOT_LEAST, HOT_SHARE * min(total, HOT_SAMPLE))
-    # at most the sample's runs divided by `least`
-    return np.sort(np.array([r["h"] for r in counted.filter(F.col("n") >= least).select("h").collect()], np.int64))
+    wanted = min(max(total // HOT_EVERY, HOT_SAMPLE[0]), HOT_SAMPLE[1])
+    counted = docs.sample(min(1.0, wanted / total), seed=1).select("text").mapInArrow(_anchors(window), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    # at most the sample's runs divided by HOT_LEAST
+    return np.sort(np.array([r["h"] for r in counted.filter(F.col("n") >= HOT_LEAST).select("h").collect()], np.int64))
 
 
 def _runs(window: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values, x = _ids(batch)
+            names, values = _ids(batch)
             got, n_runs = [], 0
             for c in tb.chunks(batch.column("text"), tb.SPACE):
                 if (found := _chosen(c, window)) is None:
@@ -164,7 +178,7 @@ def _runs(window: int, hot: np.ndarray):
                 continue
             row, h, r, s, m, number = map(np.concatenate, zip(*got, strict=True))
             # Repeats inside the batch are settled here, so that a hot content sends one row a batch; the others go to keys of their own
-            later, again = _first_of([h, r], [values[row], x[row], s])
+            later, again = _first_of([h, r], [*(v[row] for v in values), s])
             # neighbouring repeated windows of one run go as one row
             joined = np.append(False, later[1:] & later[:-1] & (number[1:] >= 0) & (number[1:] == number[:-1]))
             lead = np.flatnonzero(~joined)
@@ -172,10 +186,10 @@ def _runs(window: int, hot: np.ndarray):
             lead = lead[~again[lead]]  # an equal row's places are those of the first
             m = m[lead]
             row, h, r, s, later = row[lead], h[lead], r[lead], s[lead], later[lead]
-            h = np.where(later, tb.mix64((values[row] * 31 + s).view(tb.U64)).view(np.int64), h)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(x[row]), *map(pa.array, (h, r, s, m))], ["id", "x", "h", "r", "s", "m"])
+            h = np.where(later, _apart(row, values, s), h)
+            yield _named(names, row, {"h": h, "r": r, "s": s, "m": m})
 
-    return run
+    return lean(run)
 
 
 def _windows(window: int):
@@ -183,7 +197,7 @@ def _windows(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values, x = _ids(batch)
+            names, values = _ids(batch)
             spans = batch.column("spans")
             flat = spans.flatten().to_numpy(zero_copy_only=False)
             of = np.repeat(np.arange(len(spans)), spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
@@ -205,12 +219,12 @@ def _windows(window: int):
             if not got:
                 continue
             row, one, two, s = map(np.concatenate, zip(*got, strict=True))
-            seen, again = _first_of([one, two], [values[row], x[row], s])
+            seen, again = _first_of([one, two], [*(v[row] for v in values), s])
             row, one, two, s, seen = (v[~again] for v in (row, one, two, s, seen))
-            one = np.where(seen, tb.mix64((values[row] * 31 + s).view(tb.U64)).view(np.int64), one)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), pa.array(x[row]), pa.array(one), pa.array(two), pa.array(s), pa.array(seen)], ["id", "x", "w1", "w2", "s", "seen"])
+            one = np.where(seen, _apart(row, values, s), one)
+            yield _named(names, row, {"w1": one, "w2": two, "s": s, "seen": seen})
 
-    return run
+    return lean(run)
 
 
 def _cut(window: int, one_space: bool):
@@ -268,25 +282,44 @@ def _cut(window: int, one_space: bool):
             text = pa.Array.from_buffers(pa.large_string(), len(batch), [None, pa.py_buffer(limits.astype(np.int64)), pa.py_buffer(data)]).cast(pa.string())
             number = lambda xs: pa.array(np.concatenate(xs).astype(np.int64) if xs else [], pa.int64())
             rest = [n for n in batch.schema.names if n.startswith("carried ")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("x"), number(n_words), number(n_removed), text, *map(batch.column, rest)], ["id", "x", "n_words", "n_removed", "kept", *rest])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), number(n_words), number(n_removed), text, *map(batch.column, rest)], ["id", "n_words", "n_removed", "kept", *rest])
+
+    return lean(run)
 
-    return run
+
+def _marks(text: Column) -> tuple[Column, Column]:
+    """128 bits that name a text."""
+    return F.xxhash64(text), F.xxhash64(F.lit(0x5BD1E995), F.length(text), text)
+
+
+def told_apart(whole: DataFrame) -> DataFrame:
+    """(id, text, ...) with x and y long: both 0 where an id has one text only, else marks of the text."""
+    x, y = _marks(F.col("text"))
+    marks = whole.filter("id is not null").select("id", F.struct(x.alias("x"), y.alias("y")).alias("mark"))
+    several = marks.groupBy("id").agg(F.min("mark").alias("low"), F.max("mark").alias("high")).filter("low != high").select(F.col("id").alias("i"), F.lit(True).alias("several")).checkpoint()
+    own = F.col("id").isNull()
+    if not several.isEmpty():
+        # rows with a null id go by their text, so that no task gathers them
+        whole = whole.withColumn("at", F.coalesce("id", x)).join(several, F.col("at") == F.col("i"), "left")
+        own = own | F.coalesce("several", F.lit(False))
+        whole = whole.drop("at", "i")
+    return whole.withColumns({"x": F.when(own, x).otherwise(F.lit(0).cast("long")), "y": F.when(own, y).otherwise(F.lit(0).cast("long"))}).drop("several")
 
 
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, one_space: bool = True, carry: Sequence[str] = (), prefix: str = "") -> DataFrame:
-    """One row per input row: the id, x int (hash of the text), n_words long, n_removed long, kept string, carried columns.
+    """One row per input row: the id, n_words long, n_removed long, kept string, carried columns.
 
     one_space: kept words joined by one space; else the original separators stay between kept words.
     window: 9 to 22 words, so that a run holds 15 windows at most.
-    carry: further columns to return as they are. prefix: of the names of x, n_words, n_removed and kept.
+    carry: further columns to return as they are. prefix: of the names of n_words, n_removed and kept.
     """
     if not ANCHOR_WORDS < window <= ANCHOR_WORDS + 14:
         raise ValueError(f"window must be {ANCHOR_WORDS + 1} to {ANCHOR_WORDS + 14} words")
     carried = [F.col(c).alias(f"carried {i}") for i, c in enumerate(carry)]
-    whole = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried).withColumn("x", F.hash("text"))
-    runs = whole.select("id", "text", "x").mapInArrow(_runs(window, hot_anchors(whole, window)), _RUNS)
+    whole = told_apart(df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried))
+    runs = whole.select("id", "x", "y", "text").mapInArrow(_runs(window, hot_anchors(whole, window)), _RUNS)
     anchor = Window.partitionBy("h")
-    content = Window.partitionBy("h", "r").orderBy(F.asc_nulls_first("id"), "x", "s")
+    content = Window.partitionBy("h", "r").orderBy(F.asc_nulls_first("id"), "x", "y", "s")
     flagged = (
         runs.withColumns({"n": F.dense_rank().over(content)})  # equal rows are one place
         .withColumns({"low": F.min("r").over(anchor), "high": F.max("r").over(anchor)})
@@ -294,24 +327,26 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         .filter(F.col("repeated") | (F.col("low") < F.col("high")))
     )
     code = F.col("s").cast("long") * 32 + F.abs("m") * 2 + F.when(F.col("repeated"), 0).otherwise(1)
-    spans = flagged.groupBy("id", "x").agg(F.collect_set(code).alias("spans"), F.max(~F.col("repeated")).alias("edge")).checkpoint()
+    spans = flagged.groupBy("id", "x", "y").agg(F.collect_set(code).alias("spans"), F.max(~F.col("repeated")).alias("edge")).checkpoint()
     # Both joins take all columns of the texts' side, so that Spark shuffles it once and reads that exchange twice
     names = whole.columns
-    edges = spans.filter("edge").select(F.col("id").alias("i"), F.col("x").alias("j"), "spans")
-    windows = whole.join(edges, F.col("id").eqNullSafe(F.col("i")) & (F.col("x") == F.col("j"))).select(*names, "spans").mapInArrow(_windows(window), _WINDOWS)
-    place = Window.partitionBy("w1", "w2").orderBy(F.asc_nulls_first("id"), "x", "s")
-    late = windows.withColumn("n", F.dense_rank().over(place)).filter("seen or n > 1").groupBy("id", "x").agg(F.collect_set(F.col("s").cast("long")).alias("late"))
-    late = late.select(F.col("id").alias("i2"), F.col("x").alias("j2"), "late")
-    spans = spans.select(F.col("id").alias("i"), F.col("x").alias("j"), "spans")
-    joined = (
-        whole.join(spans, F.col("id").eqNullSafe(F.col("i")) & (F.col("x") == F.col("j")), "left")
-        .join(late, F.col("id").eqNullSafe(F.col("i2")) & (F.col("x") == F.col("j2")), "left")
-        .select(*names, "spans", "late")
-    )
-    kept = [T.StructField("id", T.LongType()), T.StructField("x", T.IntegerType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
+
+    def of_document(table: DataFrame, k: int) -> tuple[DataFrame, Column]:
+        """The table with its document's columns renamed, and the condition that joins it."""
+        on = {c: f"{c} of {k}" for c in ("id", "x", "y")}
+        same = F.col("id").eqNullSafe(F.col(on["id"])) & (F.col("x") == F.col(on["x"])) & (F.col("y") == F.col(on["y"]))
+        return table.withColumnsRenamed(on), same
+
+    edges, same = of_document(spans.filter("edge").drop("edge"), 1)
+    windows = whole.join(edges, same).select(*names, "spans").mapInArrow(_windows(window), _WINDOWS)
+    place = Window.partitionBy("w1", "w2").orderBy(F.asc_nulls_first("id"), "x", "y", "s")
+    late = windows.withColumn("n", F.dense_rank().over(place)).filter("seen or n > 1").groupBy("id", "x", "y").agg(F.collect_set(F.col("s").cast("long")).alias("late"))
+    (spans, same), (late, same_late) = of_document(spans.drop("edge"), 2), of_document(late, 3)
+    joined = whole.join(spans, same, "left").join(late, same_late, "left").select(*names, "spans", "late")
+    kept = [T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
     schema = T.StructType([*kept, *(f for f in whole.schema.fields if f.name.startswith("carried "))])
     out = joined.mapInArrow(_cut(window, one_space), schema)
-    own = [F.col(c).alias(prefix + c) for c in ("x", "n_words", "n_removed", "kept") if prefix + c not in carry]
+    own = [F.col(c).alias(prefix + c) for c in ("n_words", "n_removed", "kept") if prefix + c not in carry]
     return out.select(F.col("id").alias(id_col), *own, *(F.col(f"carried {i}").alias(c) for i, c in enumerate(carry)))
 
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sievemill.llm import substring_dedup as substring_dedup_module
 from sievemill.llm.substring_dedup import substring_dedup
@@ -29,7 +30,6 @@ def result(df):
 def test_equals_brute_force(spark, seed, least, monkeypatch):
     r = random.Random(seed)
     monkeypatch.setattr(substring_dedup_module, "HOT_LEAST", least)  # with few runs an anchor counts as hot
-    monkeypatch.setattr(substring_dedup_module, "HOT_SHARE", 0)
     passages = [" ".join(r.choice("abcdefgh") + str(r.randint(0, 40)) for _ in range(n)) for n in (19, 20, 21, 35, 120)]
     rows = []
     for i in range(60):
@@ -70,7 +70,6 @@ def test_repeated_rows_null_ids_and_empty(spark):
 @pytest.mark.parametrize("parts", [1, 7])
 def test_equal_rows_are_one_place(spark, parts, least, monkeypatch):
     monkeypatch.setattr(substring_dedup_module, "HOT_LEAST", least)
-    monkeypatch.setattr(substring_dedup_module, "HOT_SHARE", 0)
     r = random.Random(parts)
     passage = " ".join(f"p{r.randint(0, 9999)}" for _ in range(40))
     own = lambda: " ".join(f"o{r.randint(0, 9999)}" for _ in range(25))
@@ -86,3 +85,32 @@ def test_equal_rows_are_one_place(spark, parts, least, monkeypatch):
 def test_window_limits(spark):
     with pytest.raises(ValueError):
         substring_dedup(docs(spark, []), window=23)
+
+
+def _sorted(df):
+    return sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept) for r in df.collect())
+
+
+def test_texts_of_one_id_are_told_apart(spark, monkeypatch):
+    """Null ids, and ids with several texts: the order among them is that of their marks, and each loses only what it repeats."""
+    r = random.Random(3)
+    new = lambda n: " ".join(f"n{r.randint(0, 10**9)}" for _ in range(n))
+    passage = new(20)
+    rows = [(None, new(40)) for _ in range(30)] + [(7, new(30)) for _ in range(10)] + [(None, f"{new(5)} {passage} {new(40)}"), (None, f"{new(30)} {passage}"), (7, new(30) + " " + passage), (9, passage)]
+    got = _sorted(substring_dedup(docs(spark, rows).repartition(5)))
+    removed = {k: n for _, n_words, n, k in got if n}
+    assert sum(removed.values()) == 60 and len(got) == len(rows)  # the first of four places stays
+    # a 64-bit hash that is the same for all texts changes nothing
+    old = substring_dedup_module._marks
+    monkeypatch.setattr(substring_dedup_module, "_marks", lambda text: (F.lit(5).cast("long"), old(text)[1]))
+    weak = _sorted(substring_dedup(docs(spark, rows).repartition(5)))
+    assert sum(n for _, _, n, _ in weak) == 60 and len(weak) == len(rows)
+
+
+def test_very_long_text(spark):
+    r = random.Random(4)
+    passage = [f"p{i}" for i in range(60)]
+    long_ = [str(r.randint(0, 10**9)) for _ in range(300_000)]
+    text = " ".join([*long_[:100_000], *passage, *long_[100_000:200_000], *passage, *long_[200_000:]])
+    got = {x.doc_id: (x.n_words, x.n_removed) for x in substring_dedup(docs(spark, [(1, text), (2, " ".join(long_[5:300])), (3, "x" * 3_000_000)])).collect()}
+    assert got == {1: (300_120, 60), 2: (295, 295), 3: (1, 0)}
