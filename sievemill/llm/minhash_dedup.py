@@ -5,29 +5,33 @@ sequence is one shingle; without words the set is empty and links with nothing.
 
 1. One pass hashes the shingles. A first permutation scatters them over 2**32 places; a second one, read
    after shifting the places circularly by 0, 1, 2, ..., gives each signature coordinate as a minimum.
-   `bands` keys of `rows` coordinates follow. At similarity 0.8 a pair misses all 40 bands of 6 with
-   probability 5e-6; documents of one group usually share many more pairs.
-2. Equal sets (128-bit fingerprint of all hashes) become one class, represented by its smallest id, before
-   anything is joined. Copies are linked with similarity 1 and never paired.
+   Bands of them make keys; their number and rows follow from the threshold, so that a pair just at it
+   misses all bands with probability MISS at most (at 80: 40 bands of 6). Groups usually share many more pairs.
+2. Equal sets (128-bit fingerprint of all hashes) become one class, represented by one row of its smallest id,
+   before anything is joined. Copies are linked with similarity 1 and never paired; repeated rows are collapsed.
 3. Each bucket's members are first compared with its smallest id. Buckets that then hold one component are
    done, as a pair inside one component cannot change the result. The others are dealt into blocks of bounded
-   size, and every two blocks of a bucket that hold more than one component form a group. In it, members of different
+   size, by component where one fills a block, and by size of set; every two blocks of a bucket that hold more than
+   one component and sets of sizes that can be similar form a group. In it, members of different
    components are compared, each pair in the first band that it shares only; a group returns at most one link
    for each member. Sets come without the shingles that no other open document holds. Nothing is capped.
 4. Pairs are confirmed on full sets: 100 * |A & B| >= threshold * |A | B|.
 
 Null ids take part as documents of their own, linked with nothing. Rows that share an id are one node: they
-are linked to what any of their texts links to. An empty table gives an empty result.
+are linked to what any of their texts links to. Ties (equal sets, equal ids) need no choice but the smallest id.
+Texts of any length are read whole, one at a time if they are long. Columns of any names may stand beside the
+two that are read, and are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemill.llm import textbytes as tb
@@ -36,10 +40,25 @@ from sievemill.llm.workers import lean, lean_group
 
 #: Shingles of a block of bucket members, about.
 BLOCK_SHINGLES = 1_500_000
+#: Signature coordinates, about, and the probability that a pair just at the threshold shares no band, at most.
+COORDINATES, MISS = 256, 6e-6
 
 _U32 = np.uint32
 
 
+def banding(threshold: int) -> tuple[int, int]:
+    """Bands and their rows for a threshold in per cent: as many rows as the coordinates allow."""
+    if not 0 < threshold <= 100:
+        raise ValueError("threshold must be 1 to 100 per cent")
+    best = (1, 1)
+    for rows in range(1, 17):
+        hit = (threshold / 100) ** rows
+        bands = math.ceil(math.log(MISS) / math.log1p(-hit)) if hit < 1 else 1
+        if rows == 1 or bands * rows <= COORDINATES:
+            best = (bands, rows)
+    return best
+
+
 def shingle_sets(c: tb.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct 64-bit shingle hashes of each row, one after the other, and the rows' limits in them."""
     h = c.hashes()
@@ -90,7 +109,7 @@ def _signatures(k: int, bands: int, rows: int):
                 sets, limits = shingle_sets(c, k)
                 size = np.diff(limits)
                 n_shingles.append(size)
-                marks = [hashlib.blake2b(sets[a:b], digest_size=16).digest() if b > a else None for a, b in zip(limits[:-1], limits[1:], strict=True)]
+                marks = [_print(sets[a:b]) if b > a else None for a, b in zip(limits[:-1], limits[1:], strict=True)]
                 prints += marks
                 first = {m: i for i, m in reversed(list(enumerate(marks))) if m is not None}  # equal sets are signed once
                 rows_of = np.fromiter(first.values(), np.int64, len(first))
@@ -108,21 +127,31 @@ def _signatures(k: int, bands: int, rows: int):
     return lean(run)
 
 
+def _print(members: np.ndarray) -> bytes:
+    """128 bits that name a set."""
+    return hashlib.blake2b(members, digest_size=16).digest()
+
+
 def _full_sets(k: int):
+    """Full sets; of rows whose id stands in several rows also the set's print."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = []
+            several = batch.column("several").to_pylist()
+            got, prints = [], []
             for c in tb.chunks(batch.column("text"), tb.SPACE, lower=True):
                 sets, limits = shingle_sets(c, k)
-                got += [sets[a:b].tobytes() for a, b in zip(limits[:-1], limits[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(got, pa.binary())], ["id", "members"])
+                for row, (a, b) in enumerate(zip(limits[:-1], limits[1:], strict=True)):
+                    got.append(sets[a:b].tobytes())
+                    prints.append(_print(sets[a:b]) if several[c.first_row + row] else None)
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(prints, pa.binary()), pa.array(got, pa.binary())], ["id", "print", "members"])
 
     return lean(run)
 
 
 @lean
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each shingle of a set with the set's id."""
+    """Each shingle of a set with the set's id and mark."""
     for batch in batches:
         sets = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column("members")]
         at, total = 0, 0
@@ -131,8 +160,8 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 total += len(x)
             if total and (x is None or total > 1 << 18):
                 part = sets[at : i + 1]
-                ids = batch.column("id").take(pa.array(np.repeat(np.arange(at, at + len(part)), [len(y) for y in part])))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), ids], ["shingle", "id"])
+                of = pa.array(np.repeat(np.arange(at, at + len(part)), [len(y) for y in part]))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)), batch.column("id").take(of), batch.column("m").take(of)], ["shingle", "id", "m"])
                 at, total = i + 1, 0
 
 
@@ -161,7 +190,7 @@ def _without_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for v, own in zip(batch.column("members"), batch.column("own"), strict=True):
             x = np.frombuffer(v.as_buffer(), np.int64)
             got.append((x if own.values is None else x[~np.isin(x, own.values.to_numpy(zero_copy_only=False))]).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("keys"), pa.array(got, pa.binary())], ["id", "keys", "members"])
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("m"), batch.column("keys"), pa.array(got, pa.binary())], ["id", "m", "keys", "members"])
 
 
 def _compare(threshold: int):
@@ -212,46 +241,91 @@ def _compare(threshold: int):
     return lean_group(run)
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: int = 80, bands: int = 40, rows: int = 6) -> DataFrame:
+def _marked(rows: DataFrame, several: DataFrame | None) -> DataFrame:
+    """Rows (id, ...) with `several` boolean: whether the id stands in several rows."""
+    if several is None:
+        return rows.withColumn("several", F.lit(False))
+    return rows.join(several.select("id", F.lit(True).alias("several")), "id", "left").withColumn("several", F.coalesce("several", F.lit(False)))
+
+
+def _mark(several: Column) -> Column:
+    """What tells the sets of one id apart; 0 for an id with one row."""
+    return F.when(several, F.xxhash64("print")).otherwise(F.lit(0).cast("long"))
+
+
+def _blocks(rows: DataFrame, threshold: int) -> DataFrame:
+    """Rows (key, id, m, n, component) of open buckets with their block: 0 in buckets that fit into one.
+
+    In larger ones a component that fills half a block has blocks of its own, and the others share some; both are
+    dealt by size of set first, so that sets that cannot be similar seldom meet. All by combined sums.
+    """
+    size = F.floor(F.log("n") / math.log(max(1.05, 100 / threshold))).cast("int")
+    rows = rows.withColumn("size", size).checkpoint()
+    parts = rows.groupBy("key", "component", "size").agg(F.sum("n").alias("n")).checkpoint()
+    large = parts.groupBy("key").agg(F.sum("n").alias("all")).filter(F.col("all") > BLOCK_SHINGLES).select("key")
+    owners = parts.groupBy("key", "component").agg(F.sum("n").alias("all")).filter(F.col("all") > BLOCK_SHINGLES / 2).select("key", "component", F.lit(True).alias("own"))
+    placed = rows.join(large, "key", "left_semi").join(owners, ["key", "component"], "left").withColumn("of", F.when(F.col("own"), F.col("component")))
+    dealt = parts.join(large, "key", "left_semi").join(owners, ["key", "component"], "left").withColumn("of", F.when(F.col("own"), F.col("component")))
+    dealt = dealt.groupBy("key", "of", "size").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts")).withColumnsRenamed({"key": "key_2", "of": "of_2", "size": "size_2"})
+    placed = placed.join(dealt, (F.col("key") == F.col("key_2")) & F.col("of").eqNullSafe(F.col("of_2")) & (F.col("size") == F.col("size_2")))
+    # blocks of one number would only be one larger block
+    block = F.xxhash64("of", "size", F.pmod(F.xxhash64("id", "m"), "parts"))
+    columns = ["key", "id", "m", "n", "component"]
+    return rows.join(large, "key", "left_anti").select(*columns, F.lit(0).cast("long").alias("block")).union(placed.select(*columns, block.alias("block")))
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: int = 80) -> DataFrame:
     """One row per input row: the id, n_shingles long, component_id long, kept boolean.
 
     threshold: per cent of Jaccard similarity from which documents are linked.
     """
+    bands, rows = banding(threshold)
+    node = ["id", "m"]
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     signed = docs.mapInArrow(_signatures(shingle, bands, rows), "id long, n long, print binary, keys array<long>").checkpoint()
     known = signed.filter("id is not null and print is not null")
-    classes = known.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("size")).checkpoint()
-    copies = known.join(classes.filter("size > 1").select("print", "rep"), "print").filter("id != rep").select("id", F.col("rep")).distinct()
-
-    rep = known.join(classes.select("print", F.col("rep").alias("id")), ["print", "id"], "left_semi")
-    buckets = rep.select("id", "n", F.explode("keys").alias("key"))
-    shared = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("lead"), F.max("id").alias("last")).filter("lead.id < last").select("key", "lead")
+    several = known.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id").checkpoint()
+    several = None if several.isEmpty() else several
+    # one row of each set: its smallest id, which has one mark for it
+    marked = _marked(known, several).select("print", "id", "n", "keys", _mark(F.col("several")).alias("m"))
+    classes = marked.groupBy("print").agg(F.min(F.struct("id", "m", "n", "keys")).alias("one"), F.max("id").alias("last")).checkpoint()
+    copies = known.select("id", "print").join(classes.filter("one.id != last").select("print", F.col("one.id").alias("rep")), "print").filter("id != rep").select("id", "rep").distinct()
+
+    rep = classes.select("one.*")
+    buckets = rep.select(*node, "n", F.explode("keys").alias("key"))
+    one = F.struct(*node, "n")
+    shared = buckets.groupBy("key").agg(F.min(one).alias("lead"), F.max("id").alias("last")).filter("lead.id < last").select("key", "lead")
     members = buckets.join(shared, "key").checkpoint()
-    ids = members.select("id").distinct()
-    sets = docs.join(ids, "id", "left_semi").mapInArrow(_full_sets(shingle), "id long, members binary").checkpoint()
+    ids = members.select(*node).distinct()
+    found = _marked(docs.join(ids.select("id").distinct(), "id", "left_semi"), several).mapInArrow(_full_sets(shingle), "id long, print binary, members binary").filter("length(members) > 0")
+    if several is None:
+        sets = found.select("id", F.lit(0).cast("long").alias("m"), "members").checkpoint()
+    else:
+        found = found.select("id", _mark(F.col("print").isNotNull()).alias("m"), "members").checkpoint()
+        again = found.filter("m != 0").groupBy(*node).agg(F.first("members").alias("members")).join(ids, node, "left_semi")
+        sets = found.filter("m = 0").union(again).checkpoint()
 
     led = members.filter("id != lead.id").filter(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * threshold)
-    pairs = led.select(F.col("lead.id").alias("a"), F.col("id").alias("b")).distinct()
-    one = sets.select(F.col("id").alias("a"), F.col("members").alias("one"))
-    two = sets.select(F.col("id").alias("b"), F.col("members").alias("two"))
-    links = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two").mapInArrow(_confirm(threshold), "a long, b long").checkpoint()
+    pairs = led.select(F.col("lead.id").alias("a"), F.col("lead.m").alias("am"), F.col("id").alias("b"), F.col("m").alias("bm")).distinct()
+    first = sets.select(F.col("id").alias("a"), F.col("m").alias("am"), F.col("members").alias("one"))
+    second = sets.select(F.col("id").alias("b"), F.col("m").alias("bm"), F.col("members").alias("two"))
+    links = pairs.join(first, ["a", "am"]).join(second, ["b", "bm"]).select("a", "b", "one", "two").mapInArrow(_confirm(threshold), "a long, b long").checkpoint()
 
     label = components(links, "a", "b", rounds=2).select(F.col("node").alias("id"), F.col("component").alias("linked"))
-    placed = members.join(label, "id", "left").select("key", "id", "n", F.coalesce("linked", "id").alias("component"))
+    placed = members.join(label, "id", "left").select("key", *node, "n", F.coalesce("linked", "id").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    open_rows = placed.join(split, "key").distinct().checkpoint()
-    open_ids = open_rows.select("id").distinct()
-    open_sets = sets.join(open_ids, "id", "left_semi")
-    owned = open_sets.mapInArrow(_shingles, "shingle long, id long").groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last")).filter("id = last")
-    owned = owned.groupBy("id").agg(F.collect_list("shingle").alias("own"))  # no more than the set itself
-    reduced = open_sets.join(owned, "id", "left").join(rep.select("id", "keys"), "id").mapInArrow(_without_own, "id long, keys array<long>, members binary")
-    before = F.sum("n").over(Window.partitionBy("key").orderBy("component", "id"))
-    blocks = open_rows.withColumn("block", F.floor(before / BLOCK_SHINGLES))
-    spans = blocks.groupBy("key", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    left, right = spans.select("key", *(F.col(c).alias(f"{c}_1") for c in ("block", "low", "high"))), spans.select("key", *(F.col(c).alias(f"{c}_2") for c in ("block", "low", "high")))
+    open_rows = placed.join(split, "key").distinct()
+    blocks = _blocks(open_rows, threshold).checkpoint()
+    open_sets = sets.join(blocks.select(*node).distinct(), node, "left_semi")
+    owned = open_sets.mapInArrow(_shingles, "shingle long, id long, m long").groupBy("shingle").agg(F.min(F.struct(*node)).alias("node"), F.count("*").alias("sets")).filter("sets = 1")
+    owned = owned.groupBy("node.id", "node.m").agg(F.collect_list("shingle").alias("own"))  # no more than the set itself
+    reduced = open_sets.join(owned, node, "left").join(rep.select(*node, "keys"), node).mapInArrow(_without_own, "id long, m long, keys array<long>, members binary")
+    spans = blocks.groupBy("key", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
+    left, right = (spans.select("key", *(F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high", "least", "most"))) for k in (1, 2))
     block_pairs = left.join(right, "key").filter("block_1 <= block_2 and not (low_1 = high_1 and low_2 = high_2 and low_1 = low_2)")
+    block_pairs = block_pairs.filter(f"100 * most_1 >= {threshold} * least_2 and 100 * most_2 >= {threshold} * least_1")
     block_pairs = block_pairs.select("key", F.col("block_1").alias("first"), F.col("block_2").alias("second"), F.explode(F.array_distinct(F.array("block_1", "block_2"))).alias("block"))
-    groups = blocks.join(block_pairs, ["key", "block"]).join(reduced, "id").select("key", "first", "second", "block", "id", "n", "component", "keys", "members")
+    groups = blocks.join(block_pairs, ["key", "block"]).join(reduced, node).select("key", "first", "second", "block", "id", "n", "component", "keys", "members")
     links = links.union(groups.groupBy("key", "first", "second").applyInArrow(_compare(threshold), "a long, b long")).checkpoint()
     edges = copies.select(F.col("id").alias("a"), F.col("rep").alias("b"))
     edges = edges.union(links)

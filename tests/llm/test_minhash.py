@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -12,14 +13,15 @@ def brute(rows, k, threshold=80):
     sets, union = {}, Union()
     for i, t in rows:
         w = words(t, lower=True)
-        sets[i] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
-    ids = sorted(sets)
+        union.find(i)
+        sets[i, t] = {tuple(w[j : j + k]) for j in range(len(w) - k + 1)} or ({tuple(w)} if w else set())
+    ids = list(sets)
     for n, i in enumerate(ids):
         for j in ids[:n]:
             a, b = sets[i], sets[j]
             if a and b and 100 * len(a & b) >= threshold * len(a | b):
-                union.join(i, j)
-    return sorted((i, len(sets[i]), union.find(i), union.find(i) == i) for i in ids)
+                union.join(i[0], j[0])
+    return sorted((i, len(sets[i, t]), union.find(i), union.find(i) == i) for i, t in rows)
 
 
 def variants(r, base, n, edits):
@@ -53,6 +55,63 @@ def test_small_blocks_find_the_same(spark, monkeypatch):
     assert got == brute(rows, 2)
 
 
+def result(df, k, **how):
+    return sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in minhash_dedup.near_duplicates(df, shingle=k, **how).collect())
+
+
+@pytest.mark.parametrize("threshold", [30, 50, 65, 95, 100])
+def test_other_thresholds(spark, threshold):
+    r = random.Random(threshold)
+    rows = list(enumerate(variants(r, [f"w{i}" for i in range(80)], 40, 40) + variants(r, [f"v{i}" for i in range(80)], 30, 10) + ["a b c", "a b c"]))
+    assert result(docs(spark, rows), 2, threshold=threshold) == brute(rows, 2, threshold)
+
+
+def test_bands_follow_from_the_threshold():
+    assert minhash_dedup.banding(80) == (40, 6)
+    for t in range(1, 101):
+        bands, n = minhash_dedup.banding(t)
+        assert (1 - (t / 100) ** n) ** bands <= minhash_dedup.MISS and (n == 1 or bands * n <= minhash_dedup.COORDINATES)
+    with pytest.raises(ValueError):
+        minhash_dedup.banding(0)
+
+
+def test_open_buckets_of_any_size(spark, monkeypatch):
+    """Documents of one family that share bands and are not all similar: large components, small ones and strays in blocks of a few sets."""
+    r = random.Random(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = variants(r, base, 60, 3) + variants(r, base, 60, 30) + variants(r, base[:100] + [f"x{i}" for i in range(15)], 30, 2) + [" ".join(base[: 120 - i]) for i in range(0, 60, 3)]
+    rows = list(enumerate(rows))
+    r.shuffle(rows)
+    for size in (300, 2000):
+        monkeypatch.setattr(minhash_dedup, "BLOCK_SHINGLES", size)
+        assert result(docs(spark, rows), 2) == brute(rows, 2)
+
+
+def test_ids_with_several_texts(spark):
+    r = random.Random(4)
+    rows = [(i, t) for i, t in enumerate(variants(r, [f"w{i}" for i in range(80)], 30, 14))]
+    rows += [(i % 5, t) for i, t in enumerate(variants(r, [f"v{i}" for i in range(80)], 20, 8))] + [(3, None), (40, None), (40, ""), (41, "v1 v2"), (41, None), (2, rows[2][1]), (2, rows[2][1])]
+    assert result(docs(spark, rows), 2) == brute(rows, 2)
+
+
+def test_repeats_do_not_multiply(spark):
+    r = random.Random(5)
+    one = [f"w{i}" for i in range(60)]
+    two = one[:57] + ["x"] + one[58:]
+    rest = [(i + 10, t) for i, t in enumerate(variants(r, one, 6, 20))]
+
+    def seconds(n):
+        rows = spark.range(n).selectExpr("explode(array(1L, 2L)) as doc_id").selectExpr("doc_id", f"if(doc_id = 1, '{' '.join(one)}', '{' '.join(two)}') as text").union(spark.createDataFrame(rest, "doc_id long, text string"))
+        began = time.time()
+        got = minhash_dedup.near_duplicates(rows, shingle=2).groupBy("doc_id", "component_id").count().collect()
+        assert {(x["doc_id"], x["component_id"]): x["count"] for x in got if x["doc_id"] < 3} == {(1, 1): n, (2, 1): n}
+        return time.time() - began
+
+    seconds(1)
+    few = seconds(2)
+    assert seconds(10_000) < 2 * few + 5
+
+
 def test_null_and_repeated_ids(spark):
     t = "a b c d e f g"
     got = sorted(((x.doc_id, x.component_id, x.kept) for x in minhash_dedup.near_duplicates(docs(spark, [(5, t), (5, t), (7, t), (None, t), (9, "z")]), shingle=2).collect()), key=str)
@@ -74,3 +133,10 @@ def test_components(spark):
         union.join(a, b)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
     assert got == {n: union.find(n) for n in union.parent}
+
+
+def test_very_long_text(spark):
+    r = random.Random(6)
+    w = [str(r.randint(0, 10**9)) for _ in range(300_000)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[:290_000])), (3, " ".join(w[:200_000])), (4, "x" * 2_000_000)]
+    assert [(i, c) for i, _, c, _ in result(docs(spark, rows), 5)] == [(1, 1), (2, 1), (3, 3), (4, 4)]
