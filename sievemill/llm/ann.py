@@ -4,14 +4,18 @@ On a bounded sample of vectors, the graph of each vector's nearest others is cut
 bisection (a median cut, then swaps that lower the number of cut edges). A small network with one hidden layer
 learns which parts hold a vector's neighbours. It then indexes every vector (its most probable part) and routes
 each query to its most probable parts, whose vectors are ranked by exact distance. The number of parts that
-queries visit is the smallest that reaches `recall` on sample vectors the network did not learn from.
+queries visit is the smallest that reaches `recall` on sample vectors the network did not learn from. Parts and
+sample grow with the table, up to PARTS and SAMPLE.
 
 Parts are searched in blocks of bounded size, each query's best of a block are merged, so that a part of any
-size, or many copies of one vector, are only more blocks.
-
-Vectors that are null, zero, or hold null or non-finite components, rows with a null id, and vectors of
-another length than most take no part. Repeated rows are candidates like any other; a query never finds rows of
-its own id. An empty table gives an empty result.
+size, or many copies of one vector, are only more blocks. A vector is sent once per QUERIES queries.
+
+A query is compared with vectors of its own length; the FITTED most frequent lengths have an index of their own,
+vectors of all other lengths are searched in full. Vectors that are null, zero, or hold null or non-finite
+components, and rows with a null id, take no part. Repeated rows are candidates like any other; as queries, rows of
+one id and vector ask once, an id with several vectors asks with each, and the best k of all its answers are
+returned. A query never finds rows of its own id. Ties in distance go to the smaller id. Very long vectors make smaller blocks. Columns of any
+names may stand beside the two that are read, and are left out. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,11 +28,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemill.llm.vectors import load, matrix
+from sievemill.llm.workers import lean, lean_group
 
-#: Vectors that the index is fitted on, at most.
-SAMPLE = 8192
-#: Vectors and queries of a block, about.
-BLOCK, QUERIES = 8192, 2048
+#: Vectors that an index is fitted on, at least (if there are so many) and at most; parts likewise; vectors of a part, about.
+SAMPLE, PARTS, PART = (8192, 65_536), (16, 512), 4096
+#: Vector lengths with an index, at most, and vectors of such a length, at least.
+FITTED, FITTED_LEAST = 4, 256
+#: Vectors and queries of a block, and bytes of the vectors of either, at most. Distances that are held at once, about.
+BLOCK, QUERIES, BLOCK_BYTES, DISTANCES = 32_768, 32_768, 1 << 25, 1 << 21
 
 
 def nearest(x: np.ndarray, y: np.ndarray, k: int, own: bool = False) -> np.ndarray:
@@ -161,11 +168,12 @@ def _top(k: int):
             q, x = matrix(query.column("v")), matrix(rows.column("v"))
             qid, vid = query.column("id").to_numpy(), rows.column("id").to_numpy()
             norm = (x * x).sum(1)
-            for at in range(0, len(q), 256):
-                part = q[at : at + 256]
+            step = max(1, DISTANCES // len(x))
+            for at in range(0, len(q), step):
+                part = q[at : at + step]
                 own = (part * part).sum(1)
                 d = own[:, None] + norm[None, :] - 2 * (part @ x.T)
-                d[qid[at : at + 256][:, None] == vid[None, :]] = np.inf
+                d[qid[at : at + step][:, None] == vid[None, :]] = np.inf
                 m = min(k, d.shape[1])
                 kth = np.partition(d, m - 1, axis=1)[:, m - 1]
                 slack = 1e-9 * (own + norm.max())  # the product form is only a filter; it errs by far less
@@ -177,11 +185,11 @@ def _top(k: int):
                 i, j, score = i[order], j[order], score[order]
                 first = np.searchsorted(i, i)
                 best = np.arange(len(i)) - first < k
-                out["query_id"].append(qid[at : at + 256][i[best]]), out["vec_id"].append(vid[j[best]]), out["score"].append(score[best])
+                out["query_id"].append(qid[at : at + step][i[best]]), out["vec_id"].append(vid[j[best]]), out["score"].append(score[best])
         kinds = {"query_id": np.int64, "vec_id": np.int64, "score": np.float64}
         return pa.table({c: np.concatenate(v) if v else np.zeros(0, kinds[c]) for c, v in out.items()})
 
-    return run
+    return lean_group(run)
 
 
 def _fewest(i: np.ndarray, j: np.ndarray, d: np.ndarray, vid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,51 +203,94 @@ def _fewest(i: np.ndarray, j: np.ndarray, d: np.ndarray, vid: np.ndarray, k: int
     return i[place < k], j[place < k]
 
 
-def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, every: int = 100, sample: int = SAMPLE, parts: int = 16, recall: float = 0.95) -> DataFrame:
-    """The k nearest found for each row whose id is divisible by `every`: query_id, rank from 1, vec_id, score."""
+def parts_for(n: int) -> tuple[int, int]:
+    """Parts (a power of two) and sample size for a table of n vectors."""
+    parts = PARTS[0]
+    while parts < PARTS[1] and parts * PART < n:
+        parts *= 2
+    return parts, min(SAMPLE[1], max(SAMPLE[0], 128 * parts))
+
+
+def learn(rows: DataFrame, k: int = 10, recall: float = 0.95, sample: int | None = None, parts: int | None = None) -> dict[int, Router]:
+    """An index for each of the most frequent vector lengths of rows (id, v, dim)."""
+    lengths = rows.groupBy("dim").agg(F.count("*").alias("n")).filter(F.col("n") >= FITTED_LEAST).orderBy(F.desc("n"), "dim").limit(FITTED).collect()
+    routers = {}
+    for dim, n in map(tuple, lengths):
+        wanted_parts, size = parts_for(n)
+        size = sample or size
+        # by hash, a fifth more than wanted, so that only they are sorted
+        hashed, share = F.xxhash64("id", "v"), min(1.0, 1.2 * size / n + 100 / n)
+        some = rows.filter((F.col("dim") == dim) & (F.pmod(hashed, F.lit(1 << 32)) < int(share * (1 << 32))))
+        chosen = some.orderBy(hashed, "id").limit(size).select("id", "v").toArrow()
+        order = np.argsort(chosen.column("id").to_numpy(), kind="stable")
+        routers[dim] = fit(matrix(chosen.column("v"))[order], k, parts or wanted_parts, recall=recall)
+    return routers
+
+
+def _by_length(batch: pa.RecordBatch, visit):
+    """Rows of a batch by vector length: their indices and visit(length, matrix, rows)."""
+    dim = batch.column("dim").to_numpy()
+    for d in np.unique(dim):
+        at = np.flatnonzero(dim == d)
+        yield at, visit(int(d), matrix(batch.column("v").take(pa.array(at))), at)
+
+
+def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, every: int = 100, sample: int | None = None, parts: int | None = None, recall: float = 0.95) -> DataFrame:
+    """The k nearest found for each row whose id is divisible by `every`: query_id, rank from 1, vec_id, score.
+
+    sample, parts: of an index; by the table's size if not given.
+    """
     rows = load(df, id_col, vector_col).filter("id is not null and v is not null")
-    usual = rows.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    schema = "query_id long, vec_id long, score double"
-    if usual is None:
-        return rows.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
-    rows = rows.filter(F.col("dim") == usual["dim"])
-    chosen = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "v").toArrow()
-    order = np.argsort(chosen.column("id").to_numpy(), kind="stable")
-    router = fit(matrix(chosen.column("v"))[order], k, parts, recall=recall)
-
-    def place(m: int):
-        def run(batches):
-            for batch in batches:
-                x = matrix(batch.column("v"))
-                best = router.best(x, m).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(list(best), pa.list_(pa.int32()))], ["id", "v", "parts"])
-
-        return run
-
-    kind = "id long, v array<double>, parts array<int>"
-    placed = rows.select("id", "v").mapInArrow(place(1), kind).select("id", "v", F.col("parts")[0].alias("part"))
-    sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a part
-    size = np.array([sizes.get(p, 0) for p in range(router.parts)])
+    routers = learn(rows, k, recall, sample, parts)
+
+    def place(batches):
+        """The most probable part of each vector; 0 where its length has no index."""
+        for batch in batches:
+            part = np.zeros(len(batch), np.int32)
+            for at, got in _by_length(batch, lambda d, x, _: routers[d].best(x, 1)[:, 0] if d in routers else 0):
+                part[at] = got
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("id", "v", "dim")), pa.array(part)], ["id", "v", "dim", "part"])
+
+    placed = rows.mapInArrow(lean(place), "id long, v array<double>, dim int, part int")
+    counted = placed.groupBy("dim", "part").agg(F.count("*").alias("n")).checkpoint()  # one row a part and length
+    sizes = {(r["dim"], r["part"]): r["n"] for r in counted.filter(F.col("dim").isin(list(routers))).collect()}  # FITTED * PARTS at most
+    size = {d: np.array([sizes.get((d, p), 0) for p in range(r.parts)]) for d, r in routers.items()}
+
+    def parts_of(d: int, x: np.ndarray, copies: np.ndarray) -> list[np.ndarray]:
+        """The parts of queries: those that recall asks for, and the next ones until k candidates besides rows of the same id are sure."""
+        if d not in routers:
+            return [np.zeros(1, np.int32)] * len(x)
+        r = routers[d]
+        order = r.best(x, r.parts).astype(np.int32)
+        enough = size[d][order].cumsum(1) >= k + copies[:, None]
+        n = np.maximum(np.where(enough.any(1), enough.argmax(1) + 1, r.parts), r.probes)
+        return [o[:m] for o, m in zip(order, n, strict=True)]
 
     def visit(batches):
-        """The parts of each query: those that recall asks for, and the next ones until k candidates besides rows of its id are sure."""
         for batch in batches:
-            order = router.best(matrix(batch.column("v")), router.parts).astype(np.int32)
-            enough = size[order].cumsum(1) >= k + batch.column("copies").to_numpy(zero_copy_only=False)[:, None]
-            n = np.maximum(np.where(enough.any(1), enough.argmax(1) + 1, router.parts), router.probes)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array([o[:m] for o, m in zip(order, n, strict=True)], pa.list_(pa.int32()))], ["id", "v", "parts"])
+            copies, out = batch.column("copies").to_numpy(), [None] * len(batch)
+            for at, got in _by_length(batch, lambda d, x, at, copies=copies: parts_of(d, x, copies[at])):
+                for i, ps in zip(at, got, strict=True):
+                    out[i] = ps
+            yield pa.RecordBatch.from_arrays([*map(batch.column, ("id", "v", "dim")), pa.array(out, pa.list_(pa.int32()))], ["id", "v", "dim", "parts"])
 
     asked = rows.filter(F.col("id") % every == 0)
     copies = asked.groupBy("id").agg(F.count("*").alias("copies"))
-    query_blocks = -(-asked.count() // QUERIES) or 1
-    blocks = F.lit(1)
-    for p, n in sizes.items():
-        blocks = F.when(F.col("part") == p, -(-n // BLOCK)).otherwise(blocks)
-    numbers = lambda n: F.explode(F.sequence(F.lit(0), n.cast("int") - 1))
-    data = placed.select("id", "v", "part", F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"), numbers(F.lit(query_blocks)).alias("turn"), F.lit(False).alias("asks"))
-    queries = asked.select("id", "v").join(copies, "id").mapInArrow(visit, kind).select("id", "v", F.explode("parts").alias("part"))
-    queries = queries.select("id", "v", "part", numbers(blocks).alias("block"), F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("turn"), F.lit(True).alias("asks"))
-    found = data.union(queries).groupBy("part", "block", "turn").applyInArrow(_top(k), schema)
+    asked = asked.dropDuplicates(["id", "v"])
+    most = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_BYTES) / (8 * F.greatest("dim", F.lit(1)))))
+    turns = asked.groupBy("dim").agg(F.count("*").alias("queries"))
+    blocks = counted.join(turns, "dim").select(
+        "dim", "part", F.ceil(F.col("n") / F.least(F.lit(BLOCK), most)).cast("int").alias("blocks"), F.ceil(F.col("queries") / F.least(F.lit(QUERIES), most)).cast("int").alias("turns")
+    )
+    blocks = blocks.checkpoint()
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    dealt = lambda n: F.pmod(F.xxhash64("id", "v"), n).cast("int")
+    columns = ["dim", "part", "block", "turn", "id", "v", "asks"]
+    data = placed.join(blocks, ["dim", "part"]).withColumns({"block": dealt(F.col("blocks")), "turn": numbers(F.col("turns")), "asks": F.lit(False)})
+    queries = asked.join(copies, "id").select("id", "v", "dim", "copies").mapInArrow(lean(visit), "id long, v array<double>, dim int, parts array<int>")
+    queries = queries.select("id", "v", "dim", F.explode("parts").alias("part")).join(blocks, ["dim", "part"])
+    queries = queries.withColumns({"turn": dealt(F.col("turns")), "block": numbers(F.col("blocks")), "asks": F.lit(True)})
+    found = data.select(*columns).union(queries.select(*columns)).groupBy("dim", "part", "block", "turn").applyInArrow(_top(k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -43,8 +43,54 @@ def test_quantisation_bound_holds():
     q, s, e = embedding_dedup.quantise(u)
     approx = (q.astype(float) @ q.T) * s[:, None] * s
     assert (np.abs(u @ u.T - approx) <= e[:, None] + e + e[:, None] * e).all()
-    pairs = {(int(a), int(b)) for i, j in embedding_dedup.linked_pairs(u, u, 0.05) for a, b in zip(i, j, strict=True)}
-    assert pairs == set(zip(*map(np.ndarray.tolist, np.nonzero(u @ u.T >= 0.05)), strict=True))
+    want = set(zip(*map(np.ndarray.tolist, np.nonzero(u @ u.T >= 0.05)), strict=True))
+    sure, may = set(), set()
+    for i, j, certain in embedding_dedup.undecided((q, s, e), (q, s, e), 0.05):
+        sure |= set(zip(i[certain].tolist(), j[certain].tolist(), strict=True))
+        may |= set(zip(i[~certain].tolist(), j[~certain].tolist(), strict=True))
+    assert sure and may - want and sure <= want <= sure | may
+
+
+def brute_links(x, threshold=0.95):
+    """(links, component) by row number."""
+    y = x.astype(float)
+    y /= np.abs(y).max(1)[:, None]
+    cosine = (y @ y.T) / np.linalg.norm(y, axis=1)[:, None] / np.linalg.norm(y, axis=1)
+    union = Union()
+    for i, j in zip(*np.nonzero(cosine >= threshold), strict=True):
+        union.join(int(i), int(j))
+    return [((cosine[i] >= threshold).sum() - 1, union.find(i)) for i in range(len(x))]
+
+
+@pytest.mark.parametrize("tile", [1000, 60])
+def test_pairs_near_the_threshold_and_extreme_lengths(spark, tile):
+    """Groups whose cosines lie around the threshold, so that many pairs are undecided; vectors of several lengths, tiny and huge."""
+    rows, want = [], {}
+    for dim, n in ((8, 200), (64, 150), (1500, 40), (1, 5)):
+        r = np.random.default_rng(dim)
+        base = r.normal(size=(3, dim))
+        x = base[r.integers(3, size=n)] + 0.16 * r.normal(size=(n, dim))
+        x = (x * 10.0 ** r.integers(-15, 15, size=(n, 1))).astype(np.float32)
+        first = len(rows)
+        rows += [(first + i, x[i].tolist()) for i in range(n)]
+        want |= {first + i: (int(links), first + int(c)) for i, (links, c) in enumerate(brute_links(x))}
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicate_vectors(frame(spark, rows), tile=tile).collect()}
+    assert got == want and max(n for n, _ in got.values()) > 10
+
+
+def test_tiles_stay_bounded_and_few():
+    t = embedding_dedup.tiles_of
+    assert t(100, 64, 1000) == 1 and t(1, 1, 1) == 1 and t(50_000, 64, 24) == 7
+    for n in (10**6, 10**8):
+        assert n / t(n, 64, 4000) <= embedding_dedup.TILE_ROWS and t(n, 64, 24) == -(-n // embedding_dedup.TILE_ROWS)
+    assert 10**6 / t(10**6, 4096, 24) * 4096 <= embedding_dedup.TILE_BYTES
+
+
+def test_repeated_ids_with_several_vectors(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(5, a), (5, b), (5, a), (6, a), (7, b), (8, [0.0, 0.0, 1.0]), (None, a), (None, None)]
+    got = sorted(((str(r.vec_id), r.n_links, str(r.component_id)) for r in embedding_dedup.near_duplicate_vectors(frame(spark, rows)).collect()))
+    assert got == [("5", 1, "5")] * 3 + [("6", 1, "5"), ("7", 1, "5"), ("8", 0, "8"), ("None", 0, "None"), ("None", 0, "None")]
 
 
 def test_no_vectors(spark):
@@ -100,3 +146,52 @@ def test_parts_are_balanced_and_cut_few_edges():
     cut = (label[graph] != label[:, None]).mean()
     shuffled = np.random.default_rng(1).permutation(label)
     assert cut < 0.6 * (shuffled[graph] != shuffled[:, None]).mean()
+
+
+def nearest_by_hand(rows, every, k=10):
+    """(query, rank, id, distance) of rows (id, vector) of any lengths."""
+    out = []
+    for q in sorted({i for i, _ in rows if i % every == 0}):
+        asks = [np.array(v, np.float32).astype(float) for i, v in rows if i == q]
+        found = sorted((float(np.sqrt(((a - np.array(v, np.float32)) ** 2).sum())), i) for a in asks for i, v in rows if i != q and len(v) == len(a))
+        out += [(q, n + 1, i, d) for n, (d, i) in enumerate(found[:k])]
+    return out
+
+
+def test_every_length_is_searched(spark, monkeypatch):
+    monkeypatch.setattr(ann, "FITTED_LEAST", 100)
+    rows = []
+    for dim, n in ((8, 300), (3, 200), (5, 12), (2, 1), (900, 15)):
+        x = vectors(dim, n, dim=dim)
+        rows += [(10 * (len(rows) + i), x[i].tolist()) for i in range(n)]
+    rows.append((7, rows[0][1]))
+    got = sorted(map(tuple, ann.search(frame(spark, rows), recall=2.0).collect()))
+    want = nearest_by_hand(rows, 100)
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in want], abs=1e-12)
+
+
+def test_repeated_queries_ask_once(spark):
+    x = vectors(4, 30)
+    rows = [(i, x[i].tolist()) for i in range(30)]
+    got = [(r.query_id, r.rank, r.vec_id) for r in ann.search(frame(spark, rows + [rows[0], rows[0], rows[5]])).collect()]
+    want = nearest_by_hand(rows + [rows[5]], 100)
+    assert sorted(got) == [w[:3] for w in want]
+
+
+def test_few_parts_are_read_where_vectors_cluster():
+    r = np.random.default_rng(2)
+    centres = r.normal(size=(300, 64))
+    x = centres[r.integers(300, size=30_000)] + 0.1 * r.normal(size=(30_000, 64))
+    for parts in (16, 64):
+        router = ann.fit(x[:8192], 10, parts)
+        assert router.probes <= 0.3 * parts and router.recall >= 0.95
+        home, asks = router.best(x, 1)[:, 0], np.arange(0, 30_000, 300)
+        order = router.best(x[asks], router.probes)
+        hit = [np.isin(home[near], order[q]).mean() for q, near in enumerate(ann.nearest(x[asks], x, 11))]
+        assert np.mean(hit) >= 0.9
+
+
+def test_parts_grow_with_the_table():
+    assert ann.parts_for(0) == (16, 8192) and ann.parts_for(65_536) == (16, 8192)
+    assert ann.parts_for(10**6) == (256, 32_768) and ann.parts_for(10**9) == (512, 65_536)
