@@ -11,6 +11,7 @@ import json
 import os
 import shutil
 import sys
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +23,15 @@ from sievemill.plans import pipeline
 from sievemill.session import ship
 from sievemill.sources import files, http
 from sievemill.streaming import sessions
+from sievemill.streaming.incremental import Progress
 
 
 class Run:
-    def __init__(self, spark: SparkSession, args: argparse.Namespace, provider: generate.Provider | None = None, now=datetime.now):
+    def __init__(self, spark: SparkSession, args: argparse.Namespace, provider: generate.Provider | None = None, now=datetime.now, tuning: generate.TuningService | None = None):
         self.spark, self.args, self.now = ship(spark), args, now
         self.config = settings.load(args.config) if args.config else settings.Config()
         self.provider = provider or generate.StubProvider()
+        self.tuning = tuning or generate.StubTuningService()
 
     def path(self, name: str) -> str:
         return os.path.join(self.args.data, name)
@@ -37,16 +40,39 @@ class Run:
         return self.spark.read.parquet(self.path(name))
 
     def replace(self, df: DataFrame, name: str) -> int:
-        """Writes a dataset beside the old one, then takes its place: df may read the old one."""
+        """Writes a dataset beside the old one, then takes its place."""
         files.write_rows(df, self.path(name + ".new"))
         shutil.rmtree(self.path(name), ignore_errors=True)
         os.rename(self.path(name + ".new"), self.path(name))
         return self.read(name).count()
 
-    def done(self, phase: str, name: str) -> DataFrame | None:
-        """Rows of an interrupted run of this phase, if it is to be resumed."""
-        state = files.load_checkpoint(self.path("checkpoint.json"))
-        return self.read(name) if self.args.resume and files.resumable(state, phase) and os.path.exists(self.path(name)) else None
+    def started(self, phase: str) -> tuple[Progress, DataFrame | None]:
+        """The phase's progress, and the rows of an interrupted run if it is to be resumed."""
+        progress = Progress(self.spark, self.path(f"{phase}.progress"))
+        if not (self.args.resume and files.resumable(files.load_checkpoint(self.path("checkpoint.json")), phase)):
+            progress.clear()
+        return progress, progress.rows()
+
+    def work_off(self, phase: str, progress: Progress, todo: DataFrame, stage: Callable[[DataFrame], DataFrame], every: int | None, old: int) -> None:
+        """Runs a stage over what is to do, in batches, and keeps the checkpoint up to date."""
+        total = old + todo.count()
+        self.mark(phase, rows=old, total=total)
+
+        def after(number: int) -> None:
+            rows = progress.rows()
+            self.mark(phase, rows=rows.count() if rows is not None else 0, total=total)
+
+        progress.run(todo, stage, every, after)
+
+    def finish(self, progress: Progress, name: str) -> int:
+        """Makes the dataset of all runs, in their order, and forgets the progress."""
+        rows = progress.rows()
+        if rows is None:
+            raise RuntimeError("no batch was written")
+        ordered = rows.orderBy("run", "ord").drop("run", "ord").withColumn("ord", F.monotonically_increasing_id())
+        n = self.replace(ordered, name)
+        progress.clear()
+        return n
 
     def mark(self, phase: str, **counters) -> None:
         files.save_checkpoint(self.path("checkpoint.json"), phase, self.now(), **counters)
@@ -64,18 +90,24 @@ class Run:
         collections = pages.collections(home, s).orderBy("ord").collect()  # one row a collection
         listed = fetched([c.url for c in collections])
         about = self.spark.createDataFrame([(c.url, c.name, c.id) for c in collections], "url string, collection string, collection_id string")
-        refs = sampling.head(pages.article_refs(listed.filter("html is not null").join(about, "url"), s), self.args.limit).drop("ord")
-        old = self.done("scraping", "articles")
-        if old is not None:
-            refs = refs.join(old.select(F.col("article_id").alias("id")), "id", "left_anti")
-        refs = refs.persist()
-        page = fetched([r.url for r in refs.select("url").collect()])  # the reader paces requests by host
-        got = pages.articles(refs.join(page, "url"), s)
-        bad = got.filter("error is not null").count()
-        new = got.filter("error is null").drop("error")
-        n = self.replace(new if old is None else old.unionByName(new), "articles")
+        refs = sampling.head(pages.article_refs(listed.filter("html is not null").join(about, "url"), s), self.args.limit)
+        progress, old = self.started("scraping")
+        todo = refs if old is None else refs.join(old.select(F.col("article_id").alias("id")), "id", "left_anti")
+
+        def read(batch: DataFrame) -> DataFrame:
+            batch = batch.withColumn("at", F.col("ord"))
+            page = fetched([r.url for r in batch.select("url").collect()])  # one batch's; the reader paces requests by host
+            got = pages.articles(batch.drop("ord").join(page, "url"), s).filter("error is null").drop("error", "ord")
+            return got.join(batch.select(F.col("id").alias("article_id"), F.col("at").alias("ord")), "article_id")
+
+        before = 0 if old is None else old.count()
+        todo = todo.persist()
+        asked = todo.count()
+        self.work_off("scraping", progress, todo, read, self.args.every or 10, before)
+        todo.unpersist()
+        n = self.finish(progress, "articles")
         self.mark("scraping_complete", articles=n)
-        print(f"SCRAPING COMPLETE\nCollections: {len(collections)}\nArticles: {n}\nFailed: {bad}")
+        print(f"SCRAPING COMPLETE\nCollections: {len(collections)}\nArticles: {n}\nFailed: {before + asked - n}")
         self.breakdown(self.read("articles"), "collection")
         return 0
 
@@ -84,21 +116,27 @@ class Run:
 
     def questions(self) -> int:
         flat = sampling.head(self.flat_articles(), self.args.limit)
-        old = self.done("questions", "questions")
+        progress, old = self.started("questions")
         todo = flat if old is None else joins.not_done(flat, old, "article_id")
-        if todo.isEmpty():
+        if todo.isEmpty() and old is None:
             print("All articles already processed")
             return 0
-        self.mark("questions", rows=0 if old is None else old.count())
         g = self.config.generation
-        if self.args.sync:
-            new = generate.generate_questions(todo, self.provider, self.config)
-        else:
-            lines = generate.requests(todo, "article_id", generate.question_prompt(self.config), self.config, g.temperature_questions, g.max_tokens_questions)
+
+        def directly(batch: DataFrame) -> DataFrame:
+            return generate.generate_questions(batch, self.provider, self.config)
+
+        def in_a_batch(batch: DataFrame) -> DataFrame:
+            lines = generate.requests(batch, "article_id", generate.question_prompt(self.config), self.config, g.temperature_questions, g.max_tokens_questions)
             results = generate.run_batch(lines, self.path("questions_batch"), generate.StubBatchService(self.args.data, self.provider), settings=self.config.service)
             answered = results.filter("error is null").select(F.col("custom_id").alias("article_id"), F.col("content").alias("response"), "ord")
-            new = joins.with_article(generate.questions_from(answered, batch=True), flat).select("article_id", "title", "collection", "questions", "ord")
-        n = self.replace(new if old is None else old.unionByName(new), "questions")
+            return joins.with_article(generate.questions_from(answered, batch=True), flat).select("article_id", "title", "collection", "questions", "ord")
+
+        if todo.isEmpty():
+            print("All articles already processed")
+        else:
+            self.work_off("questions", progress, todo, directly if self.args.sync else in_a_batch, (self.args.every or 5) if self.args.sync else None, 0 if old is None else old.count())
+        n = self.finish(progress, "questions")
         total = self.read("questions").agg(F.sum(F.size("questions"))).first()[0] or 0
         self.mark("questions_complete", articles_processed=n)
         print(f"QUESTION GENERATION COMPLETE\nArticles processed: {n}\nTotal questions: {total}\nAverage questions per article: {total / n if n else 0:.1f}")
@@ -107,20 +145,26 @@ class Run:
     def answers(self) -> int:
         flat = self.flat_articles()
         items = sampling.head(joins.work_items(self.read("questions"), flat), self.args.limit)
-        old = self.done("answers", "qa_pairs")
+        progress, old = self.started("answers")
         todo = items if old is None else joins.not_done(items, old, "qa_id")
-        if todo.isEmpty():
+        if todo.isEmpty() and old is None:
             print("All Q&A pairs already processed")
             return 0
-        self.mark("answers", rows=0 if old is None else old.count())
         g = self.config.generation
-        if self.args.sync:
-            new = generate.generate_answers(todo, self.provider, self.config)
-        else:
-            lines = generate.requests(todo, "qa_id", generate.answer_prompt(self.config), self.config, g.temperature_answers, g.max_tokens_answers)
+
+        def directly(batch: DataFrame) -> DataFrame:
+            return generate.generate_answers(batch, self.provider, self.config)
+
+        def in_a_batch(batch: DataFrame) -> DataFrame:
+            lines = generate.requests(batch, "qa_id", generate.answer_prompt(self.config), self.config, g.temperature_answers, g.max_tokens_answers)
             results = generate.run_batch(lines, self.path("answers_batch"), generate.StubBatchService(self.args.data, self.provider), settings=self.config.service)
-            new = generate.answers_from_batch(results.drop("ord"), todo)
-        n = self.replace(new if old is None else old.unionByName(new), "qa_pairs")
+            return generate.answers_from_batch(results.drop("ord"), batch)
+
+        if todo.isEmpty():
+            print("All Q&A pairs already processed")
+        else:
+            self.work_off("answers", progress, todo, directly if self.args.sync else in_a_batch, (self.args.every or 10) if self.args.sync else None, 0 if old is None else old.count())
+        n = self.finish(progress, "qa_pairs")
         self.mark("answers_complete", qa_pairs_generated=n)
         print(f"ANSWER GENERATION COMPLETE\nQ&A pairs generated: {n}")
         self.breakdown(self.read("qa_pairs"), "question_type")
@@ -156,12 +200,24 @@ class Run:
         return 0
 
     def finetune(self) -> int:
-        """The job's request after the readiness check; submitting it is the service's matter."""
-        if not generate.finetune_ready(self.path("final_training_data.jsonl")):
+        """Readiness, upload, the file's check, and the job; a dry run stops before the service is asked."""
+        path = self.path("final_training_data.jsonl")
+        if not generate.finetune_ready(path):
             print("Training file not found", file=sys.stderr)
             return 1
-        print(json.dumps(generate.finetune_request(self.config.finetuning, "file-dummy-id")))
-        return 0
+        if self.args.dry_run:
+            print(f"[DRY RUN] {json.dumps(generate.finetune_request(self.config.finetuning, 'file-dummy-id'))}")
+            return 0
+        file_id = self.tuning.upload(path)
+        if not generate.wait_for_file(lambda: self.tuning.file_status(file_id)):
+            print("File processing failed", file=sys.stderr)
+            return 1
+        request = generate.finetune_request(self.config.finetuning, file_id)
+        job = self.tuning.create(request)
+        files.write_json(self.path("finetune_job.json"), {"job_id": job, "request": request, "created_at": self.now().isoformat()})
+        status = generate.wait_for_job(lambda: self.tuning.job_status(job))
+        print(f"Fine-tuning {status}: {job}")
+        return 0 if status == "succeeded" else 1
 
     def chat(self, lines=None) -> int:
         """A session on the terminal: /exit, /quit, /clear, /system KEY."""
@@ -198,6 +254,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--config", help="YAML settings")
     p.add_argument("--limit", type=int, help="articles, or question/answer pairs in the answers phase")
     p.add_argument("--resume", action="store_true", help="go on with an interrupted phase")
+    p.add_argument("--every", type=int, help="items after which progress is kept (10, 5 in the questions phase)")
     p.add_argument("--sync", action="store_true", help="one completion at a time instead of a batch")
     p.add_argument("--dry-run", action="store_true", help="validate files only (finetune)")
     p.add_argument("--system", default="default", help="system prompt key (chat)")

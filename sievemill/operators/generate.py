@@ -91,7 +91,7 @@ class BatchService(Protocol):
     def upload(self, lines_path: str) -> str: ...
     def submit(self, file_id: str, description: str) -> str: ...
     def status(self, batch_id: str) -> dict[str, Any]: ...
-    def result_lines(self, output_file_id: str) -> list[str]: ...
+    def result_path(self, output_file_id: str) -> str: ...  # of result lines, which Spark reads
 
 
 def wait_for_batch(service: BatchService, batch_id: str, settings: Service = Service(), clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> dict[str, Any]:
@@ -130,12 +130,12 @@ class StubBatchService:
         return out
 
     def status(self, batch_id: str) -> dict[str, Any]:
-        n = len(self.result_lines(batch_id))
+        with open(batch_id, encoding="utf-8") as f:
+            n = sum(1 for _ in f)
         return {"status": "completed", "output_file_id": batch_id, "request_counts": {"total": n, "completed": n, "failed": 0}}
 
-    def result_lines(self, output_file_id: str) -> list[str]:
-        with open(output_file_id, encoding="utf-8") as f:
-            return f.read().strip().split("\n")
+    def result_path(self, output_file_id: str) -> str:
+        return output_file_id
 
 
 def run_batch(requests: DataFrame, lines_path: str, service: BatchService, description: str = "batch", settings: Service = Service(), **clocks: Any) -> DataFrame:
@@ -143,8 +143,9 @@ def run_batch(requests: DataFrame, lines_path: str, service: BatchService, descr
     spark = requests.sparkSession
     files.write_lines(requests, lines_path)
     state = wait_for_batch(service, service.submit(service.upload(lines_path), description), settings, **clocks)
-    lines = service.result_lines(state["output_file_id"]) if state["status"] == "completed" else []
-    return files.batch_results(spark.createDataFrame([(line, i) for i, line in enumerate(lines)], "value string, ord long"))
+    if state["status"] != "completed":
+        return files.batch_results(spark.createDataFrame([], "value string, ord long"))
+    return files.batch_results(files.read_lines(spark, service.result_path(state["output_file_id"])))
 
 
 def question_prompt(config: Config = Config(), template: str = QUESTION_TEMPLATE) -> Column:
@@ -204,6 +205,38 @@ def finetune_ready(training_path: str) -> bool:
     return os.path.exists(training_path)
 
 
+class TuningService(Protocol):
+    """A service that tunes a model on an uploaded file."""
+
+    def upload(self, path: str) -> str: ...
+    def file_status(self, file_id: str) -> str: ...
+    def create(self, request: dict[str, Any]) -> str: ...
+    def job_status(self, job_id: str) -> str: ...
+
+
+class StubTuningService:
+    """Takes any file and job, and is done at once."""
+
+    def upload(self, path: str) -> str:
+        return f"file-{hashlib.md5(path.encode()).hexdigest()[:8]}"
+
+    def file_status(self, file_id: str) -> str:
+        return "processed"
+
+    def create(self, request: dict[str, Any]) -> str:
+        return f"job-{request['training_file']}"
+
+    def job_status(self, job_id: str) -> str:
+        return "succeeded"
+
+
+def wait_for_file(status: Callable[[], str], interval: float = 5.0, sleep: Callable[[float], None] = time.sleep) -> bool:
+    """Polls an uploaded file; whether it was processed, and not refused."""
+    while (now := status()) not in ("processed", "error"):
+        sleep(interval)
+    return now == "processed"
+
+
 def wait_for_job(status: Callable[[], str], interval: float = 30.0, sleep: Callable[[float], None] = time.sleep) -> str:
     """Polls a tuning job to succeeded, failed or cancelled."""
     while (now := status()) not in ("succeeded", "failed", "cancelled"):

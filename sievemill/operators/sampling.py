@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,13 +16,18 @@ def sample_size(total: int, rate: float) -> int:
     return min(max(1, int(total * rate)), total)
 
 
+def sample_order(id_col: str = "qa_id", seed: str = "1") -> Column:
+    """The order in which rows are drawn: by a digest of seed and id."""
+    return F.md5(F.concat(F.lit(seed), F.col(id_col)).cast("binary"))
+
+
 def fixed_sample(df: DataFrame, rate: float, id_col: str = "qa_id", seed: str = "1", ord_col: str = "ord") -> DataFrame:
     """sample_size rows without replacement: those with the smallest digests of seed and id.
 
     The digests' first four hex digits are counted (65,536 rows at most reach the driver); only the rows at the
     one prefix where the sample ends are put in order.
     """
-    digest = F.md5(F.concat(F.lit(seed), F.col(id_col)).cast("binary"))
+    digest = sample_order(id_col, seed)
     prefix = F.substring(digest, 1, 4)
     counts = sorted(tuple(r) for r in df.groupBy(prefix.alias("p")).agg(F.count("*").alias("n")).collect())
     left = sample_size(sum(n for _, n in counts), rate)

@@ -71,7 +71,7 @@ def validate_set(pairs: DataFrame, articles: DataFrame, lines: DataFrame, now: d
     checked = grounding(pairs, articles, config.validation.semantic_sample_rate, seed).persist()
     size = F.size("issues")
     counted = checked.agg(F.count("*").alias("n"), F.count_if(size == 0).alias("passed"), F.count_if(size > 0).alias("failed")).first()
-    issues = [{"qa_id": r["qa_id"], "issues": list(r["issues"])} for r in checked.filter(size > 0).orderBy("ord").select("qa_id", "issues").limit(10).collect()]
+    issues = [{"qa_id": r["qa_id"], "issues": list(r["issues"])} for r in checked.filter(size > 0).orderBy(sampling.sample_order("qa_id", seed), "ord").select("qa_id", "issues").limit(10).collect()]
     checked.unpersist()
     kept, stats = validated_pairs(pairs, config)
     s = stats.first()

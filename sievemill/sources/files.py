@@ -27,6 +27,11 @@ def read_json_map(spark: SparkSession, path: str, value_schema: str) -> DataFram
     return rows.select("key", "row.*", F.col("ord").cast("long").alias("ord"))
 
 
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One object a line, for datasets of any size: a file is read by many tasks, which an array is not."""
+    return read_lines(spark, path).filter("trim(value) != ''").select(F.from_json("value", schema).alias("row"), "ord").select("row.*", "ord")
+
+
 def read_questions(spark: SparkSession, path: str) -> DataFrame:
     return read_json_map(spark, path, schemas.QUESTIONS.split("map<string, ", 1)[1][:-1])
 
@@ -66,8 +71,8 @@ def write_json(path: str, value: Any) -> None:
         json.dump(value, f, indent=2)
 
 
-def write_lines(lines: DataFrame, path: str, one_file: bool = True) -> None:
-    """The values in order, one a line. one_file=False keeps sorted part files, for outputs that one task should not write."""
+def write_lines(lines: DataFrame, path: str, one_file: bool = False) -> None:
+    """The values in order, one a line, in sorted part files. one_file=True has one task write them, for small outputs."""
     ordered = lines.orderBy("ord").select("value")
     (ordered.coalesce(1) if one_file else ordered).write.mode("overwrite").text(path)
 
@@ -90,7 +95,7 @@ def save_checkpoint(path: str, phase: str, now: datetime, **counters: Any) -> No
 
 def resumable(checkpoint: dict[str, Any], phase: str) -> bool:
     """Only a run that was interrupted in this phase goes on; a completed one starts anew."""
-    return checkpoint.get("phase") == phase and bool(checkpoint.get("rows"))
+    return checkpoint.get("phase") == phase
 
 
 def read_template(path: str) -> str:

@@ -140,7 +140,7 @@ def test_checkpoints(tmp_path):
     path = str(tmp_path / "x" / "c.json")
     assert files.load_checkpoint(path) == {}
     files.save_checkpoint(path, "answers", datetime(2020, 1, 1), rows=3)
-    assert files.resumable(files.load_checkpoint(path), "answers") and not files.resumable(files.load_checkpoint(path), "questions")
+    assert files.resumable(files.load_checkpoint(path), "answers") and not files.resumable({}, "answers") and not files.resumable(files.load_checkpoint(path), "questions")
 
 
 def test_fetch_and_rate():
