@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from datetime import datetime
 
@@ -12,7 +13,7 @@ from sievemill.config import Config
 from sievemill.functions import json_text, text
 from sievemill.operators import aggregate, dedup, formatting, generate, joins, pages, sampling, validate
 from sievemill.plans import pipeline
-from sievemill.session import ship
+from sievemill.session import checkpoint_folder, ship
 from sievemill.sources import files, tables
 from sievemill.streaming import sessions
 
@@ -130,11 +131,19 @@ def question_explode(spark, sf_dir):
     return joins.work_items(_grouped(spark, sf_dir), tables.article_texts(spark, sf_dir)).select("qa_id", "question", "question_type", "title")
 
 
-@_query("select l.doc_id, coalesce(d.lang, '') title, coalesce(d.source, '') collection from labels l left join (select * from documents where doc_id % 3 <> 0) d on l.doc_id = d.doc_id")
+@_query("select l.doc_id, coalesce(d.lang, '') title, coalesce(d.source, '') collection from labels l left join documents d on l.doc_id = d.doc_id")
 def result_left_join(spark, sf_dir):
-    known = tables.article_texts(spark, sf_dir).filter(F.col("ord") % 3 != 0)
     rows = tables.table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("article_id"))
-    return joins.with_article(rows, known).select(F.col("article_id").cast("long").alias("doc_id"), "title", "collection")
+    return joins.with_article(rows, tables.article_texts(spark, sf_dir)).select(F.col("article_id").cast("long").alias("doc_id"), "title", "collection")
+
+
+@_query(f"with {_QA}, r as (select case when ord % 11 = 0 then concat('x', qa_id) else qa_id end custom_id, ord % 5 = 0 bad, answer content from qa) select q.qa_id, q.question, q.question_type, r.content, q.article_title from qa q join r on q.qa_id = r.custom_id where not r.bad")
+def qa_join(spark, sf_dir):
+    """Batch answers joined to the items that were asked: errors and unknown ids are left out."""
+    qa = tables.qa_pairs(spark, sf_dir)
+    bad = F.col("ord") % 5 == 0
+    results = qa.select(F.when(F.col("ord") % 11 == 0, F.concat(F.lit("x"), F.col("qa_id"))).otherwise(F.col("qa_id")).alias("custom_id"), F.when(bad, "refused").alias("error"), F.when(~bad, F.col("answer")).alias("content"))
+    return joins.answered(results, qa).select("qa_id", "question", "question_type", "content", "article_title")
 
 
 @_query("select doc_id, lang from documents where doc_id not in (select doc_id from labels)")
@@ -217,6 +226,16 @@ def question_format(spark, sf_dir):
     return tables.qa_docs(spark, sf_dir).select("qa_id", validate.question_error("question").alias("error"))
 
 
+@_query(f"with {_DOCS}, n as (select qa_id, length({_norm('question')}) ln from docs), l as (select ln, count(*) n from n group by ln), b as (select x.ln, sum(y.n) - 1 partners from l x join l y on case when x.ln + y.ln = 0 then true else 2.0::double * least(x.ln, y.ln) / (x.ln + y.ln) >= 0.95::double end group by x.ln) select qa_id, cast(partners as bigint) partners from n join b using (ln)")
+def length_band_pairs(spark, sf_dir):
+    """How many other questions each one's length lets be similar. Lengths are compared, not rows."""
+    n = tables.qa_docs(spark, sf_dir).select("qa_id", F.length(text.normalise("question")).alias("ln"))
+    lengths = n.groupBy("ln").agg(F.count("*").alias("n"))
+    other = lengths.select(F.col("ln").alias("other"), F.col("n").alias("m"))
+    band = lengths.join(other, dedup.length_bound(F.col("ln"), F.col("other"), 0.95)).groupBy("ln").agg((F.sum("m") - 1).alias("partners"))
+    return n.join(band, "ln").select("qa_id", "partners")
+
+
 @_query()
 def near_dup_pairs(spark, sf_dir):
     return dedup.near_pairs(tables.qa_docs(spark, sf_dir))
@@ -243,7 +262,7 @@ def message_schema(spark, sf_dir):
     return tables.conversations(spark, sf_dir).select("conv_id", validate.message_error("messages").alias("error"))
 
 
-@_query()
+@_query(_SQL["message_schema"])
 def line_check(spark, sf_dir):
     lines = tables.conversations(spark, sf_dir).select("conv_id", F.to_json(F.struct("messages")).alias("value"))
     return validate.line_errors(lines).select("conv_id", "error")
@@ -332,6 +351,18 @@ def session_state(spark, sf_dir):
     return sessions.replay(tables.session_commands(spark, sf_dir), CONFIG)
 
 
+@_query(f"with {_COMMANDS} select session_id, cast(seq as bigint) seq, case cmd when 'clear' then 'cleared' when 'message' then 'accepted' when 'completion' then 'done' else case when sw then 'switched' else 'rejected' end end as event from s")
+def session_events(spark, sf_dir):
+    """The stream of commands, read as it lies, through sessions kept as state."""
+    at = checkpoint_folder(spark, "session_events")
+    commands = tables.session_commands(spark, sf_dir)
+    commands.select("session_id", F.col("seq").cast("long").alias("seq"), "cmd", "arg").write.parquet(f"{at}/in")
+    stream = spark.readStream.schema("session_id string, seq long, cmd string, arg string").parquet(f"{at}/in")
+    query = sessions.events(stream, CONFIG).writeStream.format("parquet").option("path", f"{at}/out").option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return spark.read.schema(sessions.EVENT).parquet(f"{at}/out").select("session_id", "seq", "event")
+
+
 @_query("select page_id, regexp_extract(html, '<h1>(.*?)</h1>', 1) like '%&%' as escaped, contains(html, '<img') has_images, contains(html, '<table') has_tables, contains(html, '<video') has_video from pages")
 def page_flags(spark, sf_dir):
     p = _pages(spark, sf_dir)
@@ -345,6 +376,76 @@ def _pages(spark, sf_dir) -> DataFrame:
     return p.select(F.col("page_id").cast("string").alias("id"), "url", F.lit("").alias("title"), F.lit("Help").alias("collection"), F.lit("1").alias("collection_id"), F.col("page_id").alias("ord"), "html")
 
 
+@_query(f"""with t as (select doc_id, regexp_replace(regexp_replace(concat(text, ' [go](http://x/y) | Acme Help Center x'), '\\s*\\|\\s*Acme Help Center.*$', ''), '\\[([^\\]]+)\\]\\([^)]*\\)', '\\1', 'g') raw from documents),
+  c as (select doc_id, regexp_replace(regexp_replace(raw, '{_WS}+', ' ', 'g'), '^{_WS}+|{_WS}+$', '', 'g') clean from t)
+  select doc_id, md5(clean) digest, case when clean = '' then 0 else len(string_split(clean, ' ')) end n_words from c""")
+def clean_text(spark, sf_dir):
+    """Titles without their site, links as their text, white space collapsed, words counted."""
+    whole = F.concat("text", F.lit(" [go](http://x/y) | Acme Help Center x"))
+    clean = text.collapse_spaces(text.unlink_markdown(text.strip_title(whole, "Acme Help Center")))
+    return tables.table(spark, sf_dir, "documents").select("doc_id", F.md5(clean.cast("binary")).alias("digest"), text.word_count(clean).alias("n_words"))
+
+
+_HREF = "concat(case p_partkey % 3 when 0 then '/' when 1 then 'https://h.example/' else 'x/' end, case p_partkey % 2 when 0 then 'collections/' else 'articles/' end, p_partkey)"
+
+
+@_query(f"select p_partkey, contains(h, '/collections/') and (starts_with(h, 'http') or starts_with(h, '/')) as is_collection, contains(h, '/articles/') as is_article from (select p_partkey, {_HREF} h from part)")
+def link_kinds(spark, sf_dir):
+    k = F.col("p_partkey")
+    href = F.concat(F.when(k % 3 == 0, "/").when(k % 3 == 1, "https://h.example/").otherwise("x/"), F.when(k % 2 == 0, "collections/").otherwise("articles/"), k.cast("string"))
+    return tables.table(spark, sf_dir, "part").select("p_partkey", text.is_link(href, "collections").alias("is_collection"), text.is_link(href, "articles").alias("is_article"))
+
+
+@_query("select event_type as shown, count(*) as n from events group by 1 union all select 'Error: down', count(*) from events having count(*) > 0")
+def sse_decode(spark, sf_dir):
+    """What a client shows of event streams: one content and one error each; a bad line, an end and a cut-off line show nothing."""
+    stream = F.concat(F.lit('data: {"content": "'), F.col("event_type"), F.lit('"}\n\ndata: {bad\ndata: {"error": "down"}\n\ndata: {"complete": true}\n\ndata: {"content": "tail"}'))
+    return files.sse_contents(tables.table(spark, sf_dir, "events").select(stream.alias("value"))).groupBy("shown").agg(F.count("*").alias("n"))
+
+
+def _filled(template: str, **values: str) -> str:
+    """A template as an SQL expression."""
+    parts = ["''"]
+    for token in re.split(r"(\{\{|\}\}|\{\w+\})", template):
+        literal = token[0] if token in ("{{", "}}") else token
+        parts.append(values[token[1:-1]] if re.fullmatch(r"\{\w+\}", token) else "'" + literal.replace("'", "''") + "'")
+    return f"concat({', '.join(parts)})"
+
+
+_CAP = f"substr(text, 1, {CONFIG.generation.content_chars})"
+_ASK = _filled(generate.QUESTION_TEMPLATE, title="lang", collection="source", description="'about'", content=_CAP)
+_ANSWER = _filled(generate.ANSWER_TEMPLATE, title="lang", collection="source", content=_CAP, question="concat('What of ', doc_id, '?')")
+
+
+@_query(f"select doc_id, md5({_ASK}) as asked, length({_ASK}) as n_asked, md5({_ANSWER}) as answered, length({_ANSWER}) as n_answered from documents")
+def prompts(spark, sf_dir):
+    """Prompts of whole documents, with their content cut where the prompt's limit is."""
+    a = tables.article_texts(spark, sf_dir).withColumns({"description": F.lit("about"), "question": F.concat(F.lit("What of "), F.col("ord"), F.lit("?"))})
+    ask, answer = generate.question_prompt(CONFIG), generate.answer_prompt(CONFIG)
+    digest = lambda c: F.md5(c.cast("binary"))
+    return a.select(F.col("ord").alias("doc_id"), digest(ask).alias("asked"), F.length(ask).cast("long").alias("n_asked"), digest(answer).alias("answered"), F.length(answer).cast("long").alias("n_answered"))
+
+
+@_query(f"with m as (select cast(doc_id as varchar) article_id, substr(md5({_ASK}), 1, 6) mark from documents) select article_id, pos, concat('What does ', mark, ' say about point ', pos, '?') as question, ['factual', 'procedural', 'eligibility', 'consequence'][pos + 1] as type from (select article_id, mark, unnest([0, 1, 2, 3]) pos from m)")
+def generated_questions(spark, sf_dir):
+    a = tables.article_texts(spark, sf_dir).withColumn("description", F.lit("about"))
+    got = generate.generate_questions(a, generate.StubProvider(), CONFIG)
+    return got.select("article_id", F.posexplode("questions").alias("pos", "q")).select("article_id", "pos", "q.question", "q.type")
+
+
+@_query("select l.doc_id as id, 0 as run, cast(l.doc_id as varchar) as label from labels l union all select d.doc_id, 1, d.lang from documents d where d.doc_id not in (select doc_id from labels)")
+def resume_merge(spark, sf_dir):
+    """Rows done before come first, then what was left to do."""
+    done = tables.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("label"), F.col("doc_id").alias("ord"))
+    work = tables.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("label"), F.col("doc_id").alias("ord"))
+    return joins.merge_resumed(done, joins.not_done(work, done, "id")).select("id", F.col("ord.run").alias("run"), "label")
+
+
+@_query("select row_number() over (order by ps) - 1 as ord, prompt_key, model_id from (select unnest([" + ", ".join(f"'{k}'" for k in CONFIG.system_prompts) + "]) prompt_key, unnest(range(" + str(len(CONFIG.system_prompts)) + f")) ps, '{CONFIG.service.model}' model_id)")
+def prompt_listing(spark, sf_dir):
+    return sessions.listings(spark, CONFIG).withColumn("ord", F.col("ord").cast("long"))
+
+
 @_query()
 def html_extract(spark, sf_dir):
     a = pages.articles(_pages(spark, sf_dir))
@@ -357,10 +458,11 @@ def sections(spark, sf_dir):
     return a.select("article_id", F.posexplode("content.sections").alias("pos", "s")).select("article_id", "pos", "s.heading", "s.level", F.length("s.content").alias("n_chars"))
 
 
-@_query()
+@_query("""with l as (select url page_url, regexp_extract_all(html, '<a href="/([^"]*)">', 1) h, regexp_extract_all(html, '<a href="/[^"]*">([^<]*)</a>', 1) t from pages)
+  select page_url, pos, concat('/collections/7-', h[pos + 1]) as href, replace(t[pos + 1], '&amp;', '&') as text from (select *, unnest(range(len(h))) pos from l)""")
 def collection_links(spark, sf_dir):
     p = tables.table(spark, sf_dir, "pages").select("url", F.col("page_id").alias("ord"), F.replace("html", F.lit('href="/'), F.lit('href="/collections/7-')).alias("html"))
-    return pages.page_links(p, "collections").select("page_url", "pos", "href", "text")
+    return pages.page_links(p, "collections").select("page_url", F.col("pos").cast("long").alias("pos"), "href", "text")
 
 
 @_query()

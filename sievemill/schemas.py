@@ -20,4 +20,4 @@ BATCH_REQUEST = f"struct<custom_id: string, method: string, url: string, body: s
 BATCH_RESULT = "custom_id string, error string, content string"
 SESSION_COMMAND = "session_id string, seq long, cmd string, arg string"
 SESSION_EVENT = "session_id string, seq long, event string, data string"
-SESSION_STATE = f"system_prompt_key string, messages {MESSAGES}"
+SESSION_STATE = "key string, turns long"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -26,3 +27,21 @@ def ship(spark: SparkSession) -> SparkSession:
         sc.addPyFile(path)
         _SHIPPED.add(sc.applicationId)
     return spark
+
+
+def with_checkpoint_dir(spark: SparkSession) -> SparkSession:
+    """Takes the shared folder of spark.checkpoint.dir; only where none is set (local runs), one of this machine."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+        if where is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            where = tempfile.mkdtemp(prefix="checkpoints-")
+        sc.setCheckpointDir(where)
+    return spark
+
+
+def checkpoint_folder(spark: SparkSession, name: str) -> str:
+    """A new folder of this name in the shared checkpoint folder."""
+    return f"{with_checkpoint_dir(spark).sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -63,21 +63,33 @@ def replay(commands: DataFrame, config: Config = Config()) -> DataFrame:
     )
 
 
+class Counted:
+    """The turns of a session, of which only the number is kept."""
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def append(self, turn: tuple[str, str]) -> None:
+        self.n += 1
+
+    def __len__(self) -> int:
+        return self.n
+
+
 def events(commands: DataFrame, config: Config = Config()) -> DataFrame:
-    """One event a command of a stream (session_id, seq, cmd, arg), with state kept by session."""
+    """One event a command of a stream (session_id, seq, cmd, arg), with state kept by session: its key and number of turns, whatever its length."""
     prompts = dict(config.system_prompts)
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        now = None
-        if state.exists:
-            k, messages = state.get
-            now = {"key": k, "messages": [(m["role"], m["content"]) if isinstance(m, dict) else tuple(m) for m in messages]}
+        now = {"key": state.get[0], "messages": Counted(state.get[1])} if state.exists else None
         out = []
-        for r in pd.concat(list(parts)).sort_values("seq").itertuples(index=False):
+        for r in pd.concat(list(parts)).sort_values("seq").itertuples(index=False):  # one key's rows of one trigger
             now, kind, data = step(now, r.cmd, r.arg, prompts)
+            if now is not None and isinstance(now["messages"], list):
+                now["messages"] = Counted(len(now["messages"]))
             out.append((key[0], r.seq, kind, json.dumps(data)))
         if now is not None:
-            state.update((now["key"], now["messages"]))
+            state.update((now["key"], len(now["messages"])))
         yield pd.DataFrame(out, columns=["session_id", "seq", "event", "data"])
 
     return commands.groupBy("session_id").applyInPandasWithState(run, EVENT, schemas.SESSION_STATE, "append", "NoTimeout")
