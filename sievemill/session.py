@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
 
@@ -45,3 +45,9 @@ def with_checkpoint_dir(spark: SparkSession) -> SparkSession:
 def checkpoint_folder(spark: SparkSession, name: str) -> str:
     """A new folder of this name in the shared checkpoint folder."""
     return f"{with_checkpoint_dir(spark).sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """The table, worked out once and kept in the shared checkpoint folder: for tables that are read several times."""
+    with_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
