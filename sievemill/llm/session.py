@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-from sievemill.session import ship
+from sievemill.session import ship, with_checkpoint_dir
 
 
 #: Bytes of an Arrow batch: what a worker holds at once of a partition of any size.
@@ -17,14 +15,7 @@ _SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 def with_checkpoints(spark: SparkSession) -> SparkSession:
     """Takes the shared folder of spark.checkpoint.dir; only where none is set (local runs), one of this machine.
     Also bounds the bytes of Arrow batches, unless the application or the session sets them."""
-    sc = ship(spark).sparkContext
+    ship(spark)
     if spark.conf.getAll.get(_SETTING) is None:  # not chosen by the user, for the application or for the session
         spark.conf.set(_SETTING, BATCH_BYTES)
-    if sc.getCheckpointDir() is None:
-        where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-        if where is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-            where = tempfile.mkdtemp(prefix="checkpoints-")
-        sc.setCheckpointDir(where)
-    return spark
+    return with_checkpoint_dir(spark)
