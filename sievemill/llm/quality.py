@@ -2,11 +2,12 @@
 
 The statistics are counts over the text's bytes, words and lines; ids, labels, languages and sources are never
 read as inputs. The trees are fitted on the driver on at most `sample` labelled rows, taken in the order of a
-hash of the id; every document is scored, in one pass and without a shuffle.
+hash of id and text; every document is scored, in one pass and without a shuffle.
 
 Null texts count as empty and get a score like any other. Rows with a null id are scored; they are not held
-out. Where an id has several labels, their mean decides (a half counts as 1). Without labels every score is
-0.5. An empty table gives an empty result. Further columns pass through unchanged.
+out. Where an id has several labels, their mean decides (a half counts as 1); where it has several rows, each is a
+labelled row. Equal rows get equal scores. Texts of any length are counted whole. Without labels every score is
+0.5. An empty table gives an empty result. Further columns, whatever their names, pass through unchanged.
 """
 
 from __future__ import annotations
@@ -47,43 +48,64 @@ _UPPER = _KIND == 0
 _ENDS_WELL = np.isin(_KIND, (0, 1, 2, 5, 6, 8))
 
 
+def _sorted_runs(values: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each of n rows: how many different hashes it has, and how often the most frequent one stands there."""
+    most = np.zeros(n)
+    if not len(values):
+        return np.zeros(n), most
+    bits = n.bit_length()  # the row takes the place of a hash's last bits
+    key = np.sort(rows.astype(np.uint64) << tb.U64(64 - bits) | values >> tb.U64(bits))
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    of = (key[first] >> tb.U64(64 - bits)).astype(np.int64)
+    size = np.diff(np.append(first, len(key)))
+    start = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    most[of[start]] = np.maximum.reduceat(size, start)
+    return np.bincount(of, minlength=n).astype(float), most
+
+
 def statistics(column: pa.Array) -> np.ndarray:
     """A row of FEATURES for each text."""
     out = np.zeros((len(column), len(FEATURES)))
     for c in tb.chunks(column, tb.SPACE):
-        h = c.hashes()
-        length = c.ends - c.starts
-        capital, odd = _UPPER[c.buf[c.starts]] if len(h) else h, ~_ENDS_WELL[c.buf[c.ends - 1]] if len(h) else h
-        pairs = tb.mix64(tb.ngram_hashes(h, 2)) if len(h) else h
+        n, size = c.rows, np.diff(c.offsets).astype(float)
+        if not size.any():
+            continue
         lines = tb.tokenize(c.buf, c.offsets, NEWLINE)
-        line_hash = lines.hashes()
-        for i in range(c.rows):
-            low, high = c.offsets[i], c.offsets[i + 1]
-            size = high - low
-            if not size:
-                continue
-            counts = np.bincount(c.buf[low:high], minlength=256)
-            row = out[c.first_row + i]
-            row[:9] = np.bincount(_KIND, counts, 9) / size
-            row[9 : 9 + len(_MARKS)] = counts[list(_MARKS)] / size
-            a, b = c.row_ptr[i], c.row_ptr[i + 1]
-            n = b - a
-            share = counts[counts > 0] / size
-            rest = row[9 + len(_MARKS) :]
-            rest[0], rest[15] = np.log1p(size), -(share * np.log2(share)).sum()
-            if not n:
-                continue
-            words, m = np.sort(h[a:b]), length[a:b]
-            change = np.flatnonzero(words[1:] != words[:-1])
-            runs = np.diff(np.concatenate([[-1], change, [n - 1]]))
-            two = np.sort(pairs[a : b - 1])
-            x, y = lines.row_ptr[i], lines.row_ptr[i + 1]
-            ls = np.sort(line_hash[x:y])
-            rest[1:15] = (
-                np.log1p(n), m.mean(), m.std(), m.max(), len(runs) / n, runs.max() / n, (h[a + 1 : b] == h[a : b - 1]).mean() if n > 1 else 0,
-                ((two[1:] != two[:-1]).sum() + 1) / (n - 1) if n > 1 else 1, capital[a:b].mean(), odd[a:b].mean(), (m <= 3).mean(), np.log1p(len(ls)),
-                ((ls[1:] != ls[:-1]).sum() + 1) / max(len(ls), 1), n / max(len(ls), 1),
-            )
+        counts = np.bincount(np.repeat(np.arange(n) * 256, np.diff(c.offsets)) + c.buf, minlength=n * 256).reshape(n, 256)
+        part, some = np.maximum(size, 1), size > 0
+        share = counts / part[:, None]
+        kinds = np.stack([counts[:, _KIND == k].sum(1) for k in range(9)], 1) / part[:, None]
+        entropy = -(share * np.log2(share, out=np.zeros_like(share), where=share > 0)).sum(1)
+        h, rows = c.hashes(), c.word_rows()
+        length = (c.ends - c.starts).astype(float)
+        words = np.bincount(rows, minlength=n).astype(float)
+        at_least = np.maximum(words, 1)
+        per_word = lambda x: np.bincount(rows, x, n) / at_least
+        mean, longest = per_word(length), np.zeros(n)
+        if len(h):
+            start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+            longest[rows[start]] = np.maximum.reduceat(length, start)
+        deviation = np.sqrt(per_word((length - mean[rows]) ** 2))
+        distinct, top = _sorted_runs(h, rows, n)
+        if len(h):
+            two = rows[1:] == rows[:-1]
+            same = np.bincount(rows[1:][two], h[1:][two] == h[:-1][two], n)
+            pairs, _ = _sorted_runs(tb.mix64(tb.ngram_hashes(h, 2))[:-1][two], rows[:-1][two], n)
+            capital, odd = per_word(_UPPER[c.buf[c.starts]]), per_word(~_ENDS_WELL[c.buf[c.ends - 1]])
+        else:
+            same = pairs = capital = odd = np.zeros(n)
+        joints = np.maximum(words - 1, 1)
+        line_rows = lines.word_rows()
+        n_lines = np.bincount(line_rows, minlength=n).astype(float)
+        different, _ = _sorted_runs(lines.hashes(), line_rows, n)
+        per_line = np.maximum(n_lines, 1)
+        rest = [
+            np.log1p(size), np.log1p(words), mean, deviation, longest, distinct / at_least, top / at_least, same / joints, np.where(words > 1, pairs / joints, 1),
+            capital, odd, per_word(length <= 3), np.log1p(n_lines), different / per_line, words / per_line, entropy,
+        ]
+        rest[1:15] = [np.where(words > 0, x, 0) for x in rest[1:15]]
+        got = np.concatenate([kinds, share[:, list(_MARKS)], np.stack(rest, 1)], 1)
+        out[c.first_row : c.first_row + n] = np.where(some[:, None], got, 0)
     return out
 
 
@@ -100,10 +122,11 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(list(statistics(batch.column("text"))), pa.list_(pa.float64()))], ["label", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("label"), pa.array(list(statistics(batch.column("text"))), pa.list_(pa.float64()))], ["h", "label", "x"])
 
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = docs.join(F.broadcast(known), "id").select("id", "text", "label").mapInArrow(lean(run), "label int, x array<double>").toArrow()
+    rows = docs.join(F.broadcast(known), "id").select(F.xxhash64("id", "text").alias("h"), "text", "label").mapInArrow(lean(run), "h long, label int, x array<double>")
+    rows = rows.orderBy("h").limit(sample).toArrow()  # ids may repeat
     y = rows.column("label").to_numpy().astype(float)
     x = np.array(rows.column("x").to_pylist(), float).reshape(len(y), len(FEATURES))
     order = np.lexsort([*x.T, y])  # the same rows give the same trees in whatever order they arrive

@@ -65,9 +65,17 @@ d as (select a, count(*) n from both_ways group by a)
 select vec_id, coalesce(n, 0) as n_links, coalesce(component, vec_id) as component_id, coalesce(component, vec_id) = vec_id as kept from embeddings left join c on c.a = vec_id left join d on d.a = vec_id"""
 
 
+#: The article element of pages as plain text: blocks by line, references decoded as far as the tables have them.
+_MAIN_TEXT = r"""with a as (select page_id, url, regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<br>', ' ', 'g') body from pages),
+b as (select page_id, url, list_transform(string_split_regex(body, '</?(?:p|h1|ul|li|div)\b[^>]*>'), lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) parts from a),
+c as (select page_id, url, list_transform(parts, lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '[\s]+', ' ', 'g'))) parts from b),
+d as (select page_id, url, coalesce(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)), '') as text from c)
+select page_id, url, text, length(text) as n_chars from d"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: (lambda spark, sf_dir, f=f: f(with_checkpoints(spark), sf_dir)) for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_substring_dedup": _SUBSTRINGS, "op4_embedding_near_dedup": _VECTORS, "op7_minhash_near_dedup": _NEAR}
+    return {"op2_html_extraction": _MAIN_TEXT, "op3_substring_dedup": _SUBSTRINGS, "op4_embedding_near_dedup": _VECTORS, "op7_minhash_near_dedup": _NEAR}
