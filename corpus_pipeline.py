@@ -2,18 +2,20 @@
 
 Each stage takes all rows that the one before kept, and is written as Parquet and read again before the next
 one. Stages 1 to 4 return the columns of documents.
+
+Nulls in any column, empty and very long texts, ties, repeated rows, empty tables and further columns of any names
+are handled as each stage's operator says; further columns go along through the stages 1 to 4.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sievemill.llm import minhash_dedup, mixing, quality, sentencepiece_codec, substring_dedup
 from sievemill.llm.names import unused
 from sievemill.llm.session import with_checkpoints
+from sievemill.session import checkpoint_folder
 
 #: Documents with a lower quality score go.
 QUALITY = 0.3
@@ -47,9 +49,11 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them, in the mixed order: by ranges of the mix's key, sorted within."""
     with_checkpoints(spark)
-    return mixing.mix(docs, repetition=mixing.REPETITION, prefix=unused(docs.columns, "mix ")).select(*docs.columns)
+    prefix = unused(docs.columns, "mix ")
+    mixed = mixing.mix(docs, repetition=mixing.REPETITION, prefix=prefix)
+    return mixed.repartitionByRange(f"{prefix}key").sortWithinPartitions(f"{prefix}key").select(*docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,14 +77,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of sf_dir; what lies between them goes to the shared checkpoint folder."""
-    with_checkpoints(spark)
-    base = os.path.join(spark.sparkContext.getCheckpointDir(), "pipeline")
+    """All stages on the documents of sf_dir; what lies between them goes to a new folder in the shared checkpoint folder."""
+    base = checkpoint_folder(with_checkpoints(spark), "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
             return out
-        out.write.mode("overwrite").parquet(f"{base}/{k}")
+        out.write.parquet(f"{base}/{k}")
         docs = spark.read.parquet(f"{base}/{k}")
     return docs
