@@ -1,5 +1,9 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import hashlib
+from collections import Counter
+
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -9,6 +13,7 @@ from tests.llm.test_minhash import brute as near_brute
 from tests.llm.test_substring_dedup import brute as substring_brute
 
 sentencepiece = pytest.importorskip("sentencepiece")
+public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
 @pytest.fixture(scope="module")
@@ -57,17 +62,26 @@ def test_mixing(stages):
     assert before.count() <= after.count() <= mixing.REPETITION * before.count() + 20 * 3
 
 
-def test_encoding(stages):
-    import public_tokenizers
+def test_mixed_order(spark, stages):
+    before, after = stages[3]
+    mixed = mixing.mix(before, repetition=mixing.REPETITION)
+    want = [(r.doc_id, r.text) for r in mixed.orderBy("mix key").collect()]
+    assert [(r.doc_id, r.text) for r in corpus_pipeline.mixing_stage(spark, before, "").collect()] == want
 
+
+def test_encoding(stages):
     before, after = stages[4]
     sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     want = sorted((r.doc_id, len(sp.encode(r.text, add_eos=True))) for r in before.collect())
     assert sorted((r.doc_id, r.n_tokens) for r in after.collect()) == want
 
 
-def test_run(spark, stages, sf_dir):
-    assert corpus_pipeline.run(spark, sf_dir).exceptAll(stages[4][1]).count() == 0
+def test_runs_do_not_disturb_each_other(spark, stages, sf_dir, tmp_path):
+    first = corpus_pipeline.run(spark, sf_dir)  # not read yet
+    spark.read.parquet(f"{sf_dir}/documents.parquet").limit(3).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{sf_dir}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() <= 6
+    assert first.exceptAll(stages[4][1]).count() == 0 == stages[4][1].exceptAll(first).count()
 
 
 def test_stages_with_odd_rows_and_clashing_columns(spark, sf_dir):
@@ -81,6 +95,15 @@ def test_stages_with_odd_rows_and_clashing_columns(spark, sf_dir):
             assert k == 4 or got.columns == docs.columns
             n = got.count()
             assert n >= docs.count() if k in (2, 3, 4) else n <= docs.count()
+    good = [(r.doc_id, r.text, r.n_chars) for r in corpus_pipeline.quality_stage(spark, full, sf_dir).collect()]
+    trees = corpus_pipeline.quality.fit(full, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scores = trees.score(corpus_pipeline.quality.statistics(pa.array([t or "" for _, t, *_ in rows])))
+    assert sorted(good, key=str) == sorted([(r[0], r[1], r[4]) for r, x in zip(rows, scores, strict=True) if x >= corpus_pipeline.QUALITY], key=str)
+    mixed = Counter((r.doc_id, r.text, r.kept) for r in corpus_pipeline.mixing_stage(spark, full, sf_dir).collect())
+    assert all(mixed[r[0], r[1], "k"] >= sum(x[:2] == r[:2] for x in rows) for r in rows)
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    coded = sorted(((r.doc_id, r.n_tokens, r.decoded_sha256) for r in corpus_pipeline.encoding_stage(spark, full, sf_dir).collect()), key=str)
+    assert coded == sorted(((r[0], len(sp.encode(r[1] or "", add_eos=True)), hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in rows), key=str)
     near = {r.doc_id for r in corpus_pipeline.near_dedup_stage(spark, full, sf_dir).collect()}
     assert near == {None, 1, 2, 4}
     cut = [(r.text, r.n_chars, r.kept) for r in corpus_pipeline.substring_stage(spark, full, sf_dir).collect()]
