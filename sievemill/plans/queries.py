@@ -238,7 +238,13 @@ def length_band_pairs(spark, sf_dir):
 
 @_query()
 def near_dup_pairs(spark, sf_dir):
-    return dedup.near_pairs(tables.qa_docs(spark, sf_dir))
+    """Similar questions as pairs of classes of equal ones; question_classes has the members."""
+    return dedup.class_pairs(tables.qa_docs(spark, sf_dir))
+
+
+@_query(f"with {_DOCS}, n as (select ord, {_norm('question')} q from docs) select ord, min(ord) over (partition by q) as class_ord from n")
+def question_classes(spark, sf_dir):
+    return dedup.question_classes(tables.qa_docs(spark, sf_dir))
 
 
 @_query()

@@ -44,7 +44,8 @@ def test_near_pairs_of_long_questions(spark, tmp_path):
     long = " ".join(f"word{i}" for i in range(200))
     rows = [(1, long), (2, "short one"), (3, long + "\nmore"), (4, long[:-1])]
     spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    assert sorted(map(tuple, core.queries()["near_dup_pairs"](spark, str(tmp_path)).collect())) == [(1, 3), (1, 4), (3, 4)]
+    assert sorted(map(tuple, core.queries()["near_dup_pairs"](spark, str(tmp_path)).collect())) == [(1, 4, 2, 1)]
+    assert sorted(map(tuple, core.queries()["question_classes"](spark, str(tmp_path)).collect())) == [(1, 1), (2, 2), (3, 1), (4, 4)]
 
 
 @pytest.mark.parametrize("size", [2, 50_000])
