@@ -8,7 +8,7 @@ queries visit is the smallest that reaches `recall` on sample vectors the networ
 sample grow with the table, up to PARTS and SAMPLE.
 
 Parts are searched in blocks of bounded size, each query's best of a block are merged, so that a part of any
-size, or many copies of one vector, are only more blocks. A vector is sent once per QUERIES queries.
+size, or many copies of one vector, are only more blocks. A vector is sent once per QUERIES visits of its part.
 
 A query is compared with vectors of its own length; the FITTED most frequent lengths have an index of their own,
 vectors of all other lengths are searched in full. Vectors that are null, zero, or hold null or non-finite
@@ -278,8 +278,10 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     copies = asked.groupBy("id").agg(F.count("*").alias("copies"))
     asked = asked.dropDuplicates(["id", "v"])
     most = F.greatest(F.lit(1), F.floor(F.lit(BLOCK_BYTES) / (8 * F.greatest("dim", F.lit(1)))))
-    turns = asked.groupBy("dim").agg(F.count("*").alias("queries"))
-    blocks = counted.join(turns, "dim").select(
+    routed = asked.join(copies, "id").select("id", "v", "dim", "copies").mapInArrow(lean(visit), "id long, v array<double>, dim int, parts array<int>").checkpoint()
+    visits = routed.select("dim", F.explode("parts").alias("part")).groupBy("dim", "part").agg(F.count("*").alias("queries"))
+    # parts that no query visits are left out; the others are sent once per QUERIES visits
+    blocks = counted.join(visits, ["dim", "part"]).select(
         "dim", "part", F.ceil(F.col("n") / F.least(F.lit(BLOCK), most)).cast("int").alias("blocks"), F.ceil(F.col("queries") / F.least(F.lit(QUERIES), most)).cast("int").alias("turns")
     )
     blocks = blocks.checkpoint()
@@ -287,8 +289,7 @@ def search(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     dealt = lambda n: F.pmod(F.xxhash64("id", "v"), n).cast("int")
     columns = ["dim", "part", "block", "turn", "id", "v", "asks"]
     data = placed.join(blocks, ["dim", "part"]).withColumns({"block": dealt(F.col("blocks")), "turn": numbers(F.col("turns")), "asks": F.lit(False)})
-    queries = asked.join(copies, "id").select("id", "v", "dim", "copies").mapInArrow(lean(visit), "id long, v array<double>, dim int, parts array<int>")
-    queries = queries.select("id", "v", "dim", F.explode("parts").alias("part")).join(blocks, ["dim", "part"])
+    queries = routed.select("id", "v", "dim", F.explode("parts").alias("part")).join(blocks, ["dim", "part"])
     queries = queries.withColumns({"turn": dealt(F.col("turns")), "block": numbers(F.col("blocks")), "asks": F.lit(True)})
     found = data.select(*columns).union(queries.select(*columns)).groupBy("dim", "part", "block", "turn").applyInArrow(_top(k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
