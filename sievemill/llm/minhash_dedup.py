@@ -35,7 +35,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemill.llm import textbytes as tb
-from sievemill.llm.components import components
+from sievemill.llm.components import components, splittable
+from sievemill.llm.session import tidy
 from sievemill.llm.workers import lean, lean_group
 
 #: Shingles of a block of bucket members, about.
@@ -261,74 +262,109 @@ def _blocks(rows: DataFrame, threshold: int) -> DataFrame:
     """
     size = F.floor(F.log("n") / math.log(max(1.05, 100 / threshold))).cast("int")
     rows = rows.withColumn("size", size).checkpoint()
+    columns = ["key", "id", "m", "n", "component"]
     parts = rows.groupBy("key", "component", "size").agg(F.sum("n").alias("n")).checkpoint()
-    large = parts.groupBy("key").agg(F.sum("n").alias("all")).filter(F.col("all") > BLOCK_SHINGLES).select("key")
-    owners = parts.groupBy("key", "component").agg(F.sum("n").alias("all")).filter(F.col("all") > BLOCK_SHINGLES / 2).select("key", "component", F.lit(True).alias("own"))
+    # tables of their own, so that Spark can split joins on a hot key
+    large = parts.groupBy("key").agg(F.sum("n").alias("all")).filter(F.col("all") > BLOCK_SHINGLES).select("key").checkpoint()
+    if large.isEmpty():
+        return rows.select(*columns, F.lit(0).cast("long").alias("block"))
+    owners = parts.groupBy("key", "component").agg(F.sum("n").alias("all")).filter(F.col("all") > BLOCK_SHINGLES / 2).select("key", "component", F.lit(True).alias("own")).checkpoint()
     placed = rows.join(large, "key", "left_semi").join(owners, ["key", "component"], "left").withColumn("of", F.when(F.col("own"), F.col("component")))
     dealt = parts.join(large, "key", "left_semi").join(owners, ["key", "component"], "left").withColumn("of", F.when(F.col("own"), F.col("component")))
-    dealt = dealt.groupBy("key", "of", "size").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts")).withColumnsRenamed({"key": "key_2", "of": "of_2", "size": "size_2"})
+    dealt = dealt.groupBy("key", "of", "size").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts")).withColumnsRenamed({"key": "key_2", "of": "of_2", "size": "size_2"}).checkpoint()
     placed = placed.join(dealt, (F.col("key") == F.col("key_2")) & F.col("of").eqNullSafe(F.col("of_2")) & (F.col("size") == F.col("size_2")))
     # blocks of one number would only be one larger block
     block = F.xxhash64("of", "size", F.pmod(F.xxhash64("id", "m"), "parts"))
-    columns = ["key", "id", "m", "n", "component"]
     return rows.join(large, "key", "left_anti").select(*columns, F.lit(0).cast("long").alias("block")).union(placed.select(*columns, block.alias("block")))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: int = 80) -> DataFrame:
-    """One row per input row: the id, n_shingles long, component_id long, kept boolean.
+#: What tells a set from all others: its smallest id, and a mark.
+_NODE = ["id", "m"]
 
-    threshold: per cent of Jaccard similarity from which documents are linked.
-    """
-    bands, rows = banding(threshold)
-    node = ["id", "m"]
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    signed = docs.mapInArrow(_signatures(shingle, bands, rows), "id long, n long, print binary, keys array<long>").checkpoint()
-    known = signed.filter("id is not null and print is not null")
-    several = known.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id").checkpoint()
-    several = None if several.isEmpty() else several
-    # one row of each set: its smallest id, which has one mark for it
+
+def _classes(known: DataFrame, several: DataFrame | None) -> DataFrame:
+    """(print, one, last): each set with one row of its smallest id (id, m, n, keys), and its largest id."""
     marked = _marked(known, several).select("print", "id", "n", "keys", _mark(F.col("several")).alias("m"))
-    classes = marked.groupBy("print").agg(F.min(F.struct("id", "m", "n", "keys")).alias("one"), F.max("id").alias("last")).checkpoint()
-    copies = known.select("id", "print").join(classes.filter("one.id != last").select("print", F.col("one.id").alias("rep")), "print").filter("id != rep").select("id", "rep").distinct()
+    return marked.groupBy("print").agg(F.min(F.struct("id", "m", "n", "keys")).alias("one"), F.max("id").alias("last")).checkpoint()
 
-    rep = classes.select("one.*")
-    buckets = rep.select(*node, "n", F.explode("keys").alias("key"))
-    one = F.struct(*node, "n")
-    shared = buckets.groupBy("key").agg(F.min(one).alias("lead"), F.max("id").alias("last")).filter("lead.id < last").select("key", "lead")
-    members = buckets.join(shared, "key").checkpoint()
-    ids = members.select(*node).distinct()
+
+def _members(rep: DataFrame) -> DataFrame:
+    """(key, id, m, n, lead): sets in buckets with sets of other ids, and the bucket's first set."""
+    buckets = rep.select(*_NODE, "n", F.explode("keys").alias("key"))
+    shared = buckets.groupBy("key").agg(F.min(F.struct(*_NODE, "n")).alias("lead"), F.max("id").alias("last")).filter("lead.id < last").select("key", "lead")
+    return buckets.join(splittable(shared, "lead"), "key").checkpoint()
+
+
+def _sets(docs: DataFrame, members: DataFrame, several: DataFrame | None, shingle: int) -> DataFrame:
+    """(id, m, members): full sets of bucket members, one row each."""
+    ids = members.select(*_NODE).distinct()
     found = _marked(docs.join(ids.select("id").distinct(), "id", "left_semi"), several).mapInArrow(_full_sets(shingle), "id long, print binary, members binary").filter("length(members) > 0")
     if several is None:
-        sets = found.select("id", F.lit(0).cast("long").alias("m"), "members").checkpoint()
-    else:
-        found = found.select("id", _mark(F.col("print").isNotNull()).alias("m"), "members").checkpoint()
-        again = found.filter("m != 0").groupBy(*node).agg(F.first("members").alias("members")).join(ids, node, "left_semi")
-        sets = found.filter("m = 0").union(again).checkpoint()
+        return found.select("id", F.lit(0).cast("long").alias("m"), "members").checkpoint()
+    found = found.select("id", _mark(F.col("print").isNotNull()).alias("m"), "members").checkpoint()
+    again = found.filter("m != 0").groupBy(*_NODE).agg(F.first("members").alias("members")).join(ids, _NODE, "left_semi")
+    return found.filter("m = 0").union(again).checkpoint()
+
 
+def _led_links(members: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): ids of buckets' first sets and of members similar to them."""
     led = members.filter("id != lead.id").filter(F.least("n", "lead.n") * 100 >= F.greatest("n", "lead.n") * threshold)
     pairs = led.select(F.col("lead.id").alias("a"), F.col("lead.m").alias("am"), F.col("id").alias("b"), F.col("m").alias("bm")).distinct()
     first = sets.select(F.col("id").alias("a"), F.col("m").alias("am"), F.col("members").alias("one"))
     second = sets.select(F.col("id").alias("b"), F.col("m").alias("bm"), F.col("members").alias("two"))
-    links = pairs.join(first, ["a", "am"]).join(second, ["b", "bm"]).select("a", "b", "one", "two").mapInArrow(_confirm(threshold), "a long, b long").checkpoint()
+    return pairs.join(first, ["a", "am"]).join(second, ["b", "bm"]).select("a", "b", "one", "two").mapInArrow(_confirm(threshold), "a long, b long").checkpoint()
 
+
+def _open_buckets(members: DataFrame, links: DataFrame, threshold: int) -> DataFrame:
+    """Members of buckets that hold several components of the links so far, in blocks."""
     label = components(links, "a", "b", rounds=2).select(F.col("node").alias("id"), F.col("component").alias("linked"))
-    placed = members.join(label, "id", "left").select("key", *node, "n", F.coalesce("linked", "id").alias("component"))
+    placed = members.join(label, "id", "left").select("key", *_NODE, "n", F.coalesce("linked", "id").alias("component"))
     split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
-    open_rows = placed.join(split, "key").distinct()
-    blocks = _blocks(open_rows, threshold).checkpoint()
-    open_sets = sets.join(blocks.select(*node).distinct(), node, "left_semi")
-    owned = open_sets.mapInArrow(_shingles, "shingle long, id long, m long").groupBy("shingle").agg(F.min(F.struct(*node)).alias("node"), F.count("*").alias("sets")).filter("sets = 1")
+    return _blocks(placed.join(splittable(split, "key"), "key").distinct(), threshold).checkpoint()
+
+
+def _open_links(blocks: DataFrame, sets: DataFrame, rep: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): links found by comparing the blocks of open buckets."""
+    open_sets = sets.join(blocks.select(*_NODE).distinct(), _NODE, "left_semi")
+    owned = open_sets.mapInArrow(_shingles, "shingle long, id long, m long").groupBy("shingle").agg(F.min(F.struct(*_NODE)).alias("node"), F.count("*").alias("sets")).filter("sets = 1")
     owned = owned.groupBy("node.id", "node.m").agg(F.collect_list("shingle").alias("own"))  # no more than the set itself
-    reduced = open_sets.join(owned, node, "left").join(rep.select(*node, "keys"), node).mapInArrow(_without_own, "id long, m long, keys array<long>, members binary")
+    reduced = open_sets.join(owned, _NODE, "left").join(rep.select(*_NODE, "keys"), _NODE).mapInArrow(_without_own, "id long, m long, keys array<long>, members binary")
     spans = blocks.groupBy("key", "block").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"))
     left, right = (spans.select("key", *(F.col(c).alias(f"{c}_{k}") for c in ("block", "low", "high", "least", "most"))) for k in (1, 2))
     block_pairs = left.join(right, "key").filter("block_1 <= block_2 and not (low_1 = high_1 and low_2 = high_2 and low_1 = low_2)")
     block_pairs = block_pairs.filter(f"100 * most_1 >= {threshold} * least_2 and 100 * most_2 >= {threshold} * least_1")
     block_pairs = block_pairs.select("key", F.col("block_1").alias("first"), F.col("block_2").alias("second"), F.explode(F.array_distinct(F.array("block_1", "block_2"))).alias("block"))
-    groups = blocks.join(block_pairs, ["key", "block"]).join(reduced, node).select("key", "first", "second", "block", "id", "n", "component", "keys", "members")
-    links = links.union(groups.groupBy("key", "first", "second").applyInArrow(_compare(threshold), "a long, b long")).checkpoint()
-    edges = copies.select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    edges = edges.union(links)
+    groups = blocks.join(block_pairs, ["key", "block"]).join(reduced, _NODE).select("key", "first", "second", "block", "id", "n", "component", "keys", "members")
+    return groups.groupBy("key", "first", "second").applyInArrow(_compare(threshold), "a long, b long").checkpoint()
+
+
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, threshold: int = 80) -> DataFrame:
+    """One row per input row: the id, n_shingles long, component_id long, kept boolean.
+
+    threshold: per cent of Jaccard similarity from which documents are linked.
+    """
+    bands, rows = banding(threshold)
+    spark = df.sparkSession
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    signed = docs.mapInArrow(_signatures(shingle, bands, rows), "id long, n long, print binary, keys array<long>").checkpoint()
+    known = signed.filter("id is not null and print is not null")
+    several = known.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id").checkpoint()
+    several = None if several.isEmpty() else several
+    # each phase ends with a table of its own, and the shuffles before it are deleted
+    classes = _classes(known, several)
+    rep = classes.select("one.*")
+    members = _members(rep)
+    tidy(spark)
+    sets = _sets(docs, members, several, shingle)
+    tidy(spark)
+    links = _led_links(members, sets, threshold)
+    tidy(spark)
+    blocks = _open_buckets(members, links, threshold)
+    tidy(spark)
+    links = links.union(_open_links(blocks, sets, rep, threshold))
+    tidy(spark)
+    copies = known.select("id", "print").join(classes.filter("one.id != last").select("print", F.col("one.id").alias("rep")), "print").filter("id != rep").select("id", "rep").distinct()
+    edges = copies.select(F.col("id").alias("a"), F.col("rep").alias("b")).union(links)
     component = components(edges, "a", "b").withColumnRenamed("node", "id")
     out = signed.join(component, "id", "left")
     group = F.coalesce("component", "id")

@@ -38,6 +38,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemill.llm import textbytes as tb
+from sievemill.llm.components import splittable
+from sievemill.llm.session import tidy
 from sievemill.llm.workers import lean
 
 ANCHOR_WORDS = 8
@@ -306,6 +308,21 @@ def told_apart(whole: DataFrame) -> DataFrame:
     return whole.withColumns({"x": F.when(own, x).otherwise(F.lit(0).cast("long")), "y": F.when(own, y).otherwise(F.lit(0).cast("long"))}).drop("several")
 
 
+def _spans(whole: DataFrame, window: int) -> DataFrame:
+    """(id, x, y, spans, edge): runs of each document that are repeats in full, or edges to be compared window by window."""
+    runs = whole.select("id", "x", "y", "text").mapInArrow(_runs(window, hot_anchors(whole, window)), _RUNS)
+    anchor = Window.partitionBy("h")
+    content = Window.partitionBy("h", "r").orderBy(F.asc_nulls_first("id"), "x", "y", "s")
+    flagged = (
+        runs.withColumns({"n": F.dense_rank().over(content)})  # equal rows are one place
+        .withColumns({"low": F.min("r").over(anchor), "high": F.max("r").over(anchor)})
+        .withColumn("repeated", (F.col("m") < 0) | (F.col("n") > 1))
+        .filter(F.col("repeated") | (F.col("low") < F.col("high")))
+    )
+    code = F.col("s").cast("long") * 32 + F.abs("m") * 2 + F.when(F.col("repeated"), 0).otherwise(1)
+    return flagged.groupBy("id", "x", "y").agg(F.collect_set(code).alias("spans"), F.max(~F.col("repeated")).alias("edge")).checkpoint()
+
+
 def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, one_space: bool = True, carry: Sequence[str] = (), prefix: str = "") -> DataFrame:
     """One row per input row: the id, n_words long, n_removed long, kept string, carried columns.
 
@@ -317,17 +334,8 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         raise ValueError(f"window must be {ANCHOR_WORDS + 1} to {ANCHOR_WORDS + 14} words")
     carried = [F.col(c).alias(f"carried {i}") for i, c in enumerate(carry)]
     whole = told_apart(df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *carried))
-    runs = whole.select("id", "x", "y", "text").mapInArrow(_runs(window, hot_anchors(whole, window)), _RUNS)
-    anchor = Window.partitionBy("h")
-    content = Window.partitionBy("h", "r").orderBy(F.asc_nulls_first("id"), "x", "y", "s")
-    flagged = (
-        runs.withColumns({"n": F.dense_rank().over(content)})  # equal rows are one place
-        .withColumns({"low": F.min("r").over(anchor), "high": F.max("r").over(anchor)})
-        .withColumn("repeated", (F.col("m") < 0) | (F.col("n") > 1))
-        .filter(F.col("repeated") | (F.col("low") < F.col("high")))
-    )
-    code = F.col("s").cast("long") * 32 + F.abs("m") * 2 + F.when(F.col("repeated"), 0).otherwise(1)
-    spans = flagged.groupBy("id", "x", "y").agg(F.collect_set(code).alias("spans"), F.max(~F.col("repeated")).alias("edge")).checkpoint()
+    spans = _spans(whole, window)
+    tidy(df.sparkSession)  # of the runs, which are more than all that follows
     # Both joins take all columns of the texts' side, so that Spark shuffles it once and reads that exchange twice
     names = whole.columns
 
@@ -341,6 +349,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     windows = whole.join(edges, same).select(*names, "spans").mapInArrow(_windows(window), _WINDOWS)
     place = Window.partitionBy("w1", "w2").orderBy(F.asc_nulls_first("id"), "x", "y", "s")
     late = windows.withColumn("n", F.dense_rank().over(place)).filter("seen or n > 1").groupBy("id", "x", "y").agg(F.collect_set(F.col("s").cast("long")).alias("late"))
+    late = splittable(late, "late")
     (spans, same), (late, same_late) = of_document(spans.drop("edge"), 2), of_document(late, 3)
     joined = whole.join(spans, same, "left").join(late, same_late, "left").select(*names, "spans", "late")
     kept = [T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
