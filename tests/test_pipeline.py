@@ -1,3 +1,4 @@
+import hashlib
 import json
 import os
 from datetime import datetime
@@ -124,6 +125,16 @@ def test_report_and_metadata(spark):
     assert empty["avg_questions_per_article"] == 0 and empty["avg_answer_length_chars"] == 0
 
 
+def test_grounding_issues_come_in_the_order_of_the_sample(spark):
+    rows = [(f"What is fee {i}?", "f", f"It is {100 + i} dollars a year, that is sure.", "en") for i in range(30)]
+    qa = pairs(spark, rows)
+    articles = spark.createDataFrame([("a", "no numbers", 0)], "article_id string, plain_text string, ord long")
+    cfg = settings.from_dict({"validation": {"semantic_sample_rate": 0.5}})
+    got = pipeline.validate_set(qa, articles, formatting.example_lines(qa, cfg), datetime(2020, 1, 2), cfg, seed="7").report["semantic_checks_sample"]
+    drawn = sorted((r.qa_id for r in qa.select("qa_id").collect()), key=lambda i: hashlib.md5(f"7{i}".encode()).hexdigest())
+    assert got["sample_size"] == 15 and [x["qa_id"] for x in got["grounding_issues"]] == drawn[:10]
+
+
 def test_recommendations():
     assert aggregate.recommendations(0.94, 6, 5) == ["Grounding pass rate is 94.0%. Review flagged examples.", "High duplicate count. Consider reviewing question generation prompts."]
 
