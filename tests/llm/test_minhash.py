@@ -59,7 +59,7 @@ def result(df, k, **how):
     return sorted((x.doc_id, x.n_shingles, x.component_id, x.kept) for x in minhash_dedup.near_duplicates(df, shingle=k, **how).collect())
 
 
-@pytest.mark.parametrize("threshold", [30, 50, 65, 95, 100])
+@pytest.mark.parametrize("threshold", [50, 95])
 def test_other_thresholds(spark, threshold):
     r = random.Random(threshold)
     rows = list(enumerate(variants(r, [f"w{i}" for i in range(80)], 40, 40) + variants(r, [f"v{i}" for i in range(80)], 30, 10) + ["a b c", "a b c"]))
