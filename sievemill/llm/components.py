@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from sievemill.llm.session import tidy
 
 
-def splittable(grouped: DataFrame, column: str) -> DataFrame:
-    """A grouped table, dealt out once more by another column. A join on its key then shuffles it itself, and only such
+def splittable(grouped: DataFrame, *keys: str) -> DataFrame:
+    """A grouped table, dealt out once more by a hash of its keys. A join on the keys then shuffles it itself, and only such
     joins are split by Spark where the other side has very many rows of a key."""
-    return grouped.repartition(column)
+    return grouped.repartition(F.xxhash64(*keys))
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,9 +28,9 @@ def _round(e: DataFrame) -> DataFrame:
     """Edges after a large-star and a small-star step."""
     both = e.union(e.select("v", "u"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    large = both.join(splittable(least, "m"), "u").filter("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    large = both.join(splittable(least, "u"), "u").filter("v > u and v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     least = large.groupBy("u").agg(F.min("v").alias("m"))
-    joined = large.join(splittable(least, "m"), "u")
+    joined = large.join(splittable(least, "u"), "u")
     small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(joined.select("u", F.col("m").alias("v")))
     return small.filter("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct().checkpoint()
 

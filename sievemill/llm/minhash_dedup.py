@@ -292,7 +292,7 @@ def _members(rep: DataFrame) -> DataFrame:
     """(key, id, m, n, lead): sets in buckets with sets of other ids, and the bucket's first set."""
     buckets = rep.select(*_NODE, "n", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.min(F.struct(*_NODE, "n")).alias("lead"), F.max("id").alias("last")).filter("lead.id < last").select("key", "lead")
-    return buckets.join(splittable(shared, "lead"), "key").checkpoint()
+    return buckets.join(splittable(shared, "key"), "key").checkpoint()
 
 
 def _sets(docs: DataFrame, members: DataFrame, several: DataFrame | None, shingle: int) -> DataFrame:

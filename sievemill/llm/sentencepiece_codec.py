@@ -39,7 +39,7 @@ from sievemill.llm.workers import lean
 
 SPACE_MARK = "▁"
 #: Units whose encodings a worker keeps, at most, their length, at most, and bytes of text that it encodes at once, about.
-KEPT_UNITS, KEPT_LENGTH, CHUNK_BYTES = 150_000, 32, 1 << 20
+KEPT_UNITS, KEPT_LENGTH, CHUNK_BYTES = 80_000, 32, 1 << 19
 #: Units of so many symbols are cut between neighbours that no piece holds, every so many rounds.
 LONG_UNIT, CUT_ROUNDS = 64, 8
 #: Texts whose encoding shows a normaliser, prefix or segmentation that this module does not implement.

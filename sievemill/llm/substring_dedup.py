@@ -349,7 +349,7 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     windows = whole.join(edges, same).select(*names, "spans").mapInArrow(_windows(window), _WINDOWS)
     place = Window.partitionBy("w1", "w2").orderBy(F.asc_nulls_first("id"), "x", "y", "s")
     late = windows.withColumn("n", F.dense_rank().over(place)).filter("seen or n > 1").groupBy("id", "x", "y").agg(F.collect_set(F.col("s").cast("long")).alias("late"))
-    late = splittable(late, "late")
+    late = splittable(late, "id", "x", "y")
     (spans, same), (late, same_late) = of_document(spans.drop("edge"), 2), of_document(late, 3)
     joined = whole.join(spans, same, "left").join(late, same_late, "left").select(*names, "spans", "late")
     kept = [T.StructField("id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())]
