@@ -1,11 +1,13 @@
 """URL filter: fixed rules first, then association rules mined from labelled URLs by FP-growth.
 
 Fixed rules name a host (and all its subdomains) and a start of the path; the longest that fits decides. For the
-other URLs, Spark's FP-growth mines combinations of URL tokens from labelled pages. Combinations become rules
+other URLs, FP-growth mines combinations of URL tokens from labelled pages. Combinations become rules
 whose confidence is well above the share of blocked pages (by a factor, and by standard errors), with the support
 asked for, and that reach the factor on held-out labels too. A rule that holds a smaller rule of no lower
-confidence is pruned, level by level of sizes. Tokens that stand in the same pages are one before mining, and a
-labelled URL is mined with its TOKENS most frequent ones at most, so that long or repeated URLs do not blow up.
+confidence is pruned, level by level of sizes. All tokens of a labelled URL are mined, however many. Tokens that stand
+in the same pages are one before mining, and a combination is not grown by a token that leaves it as many pages that
+are not blocked: the result could be no rule, so nothing is lost, and copies of long URLs do not blow up. Long URLs that
+differ at random in many tokens, blocked ones and others alike, still have very many combinations, and all are grown.
 Rules are found by an inverted index: each stands under its rarest token, URLs are joined by token, and the rule's
 other tokens are checked. A URL that fits any rule is blocked.
 
@@ -20,8 +22,9 @@ that are read, and are left out. Empty tables give an empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.ml.fpm import FPGrowth
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,10 +32,11 @@ from pyspark.sql import functions as F
 RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("block", "net", "/de/"), ("allow", "example.net", "/de/8"), ("block", "org", "/es/")]
 #: Rules: share and number of labelled pages behind one, factor and standard errors above the base rate.
 SUPPORT, LEAST, LIFT, DEVIATIONS = 0.0002, 5, 1.3, 2.0
-#: Tokens of a labelled URL that are mined, at most.
-TOKENS = 12
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_BLOCK = "=block"
+_SET = "tokens array<string>, n long, blocked long"
+_SETS = pa.schema([("tokens", pa.list_(pa.string())), ("n", pa.int64()), ("blocked", pa.int64())])
+#: Combinations that a task sends at a time.
+_BATCH = 4096
 
 
 def host_of(url: str | Column) -> Column:
@@ -57,36 +61,97 @@ def tokens_of(url: str | Column, host: Column, path: Column) -> Column:
 
 
 def _merged(rows: DataFrame) -> DataFrame:
-    """(token, name) of tokens worth mining: those that stand in the same rows share the smallest one's name, and those of all rows are left out.
+    """(name, n, hits, misses) of tokens worth mining: those that stand in the same rows are one, by the smallest one's name, and those of all rows are left out.
 
-    rows: distinct (tokens, blocked, key), key a 128-bit name. Exact, as no minimal rule holds two tokens of the same rows, or one of all.
+    rows: (tokens, hits, misses, key), distinct tokens, key a 128-bit name. Exact, as no minimal rule holds two tokens of the same rows, or one of all.
     """
-    held = rows.select(F.explode("tokens").alias("token"), "key.*").groupBy("token")
-    sums = [F.count("*").alias("n"), F.sum(F.col("a").cast("decimal(38,0)")).alias("a"), F.expr("bit_xor(b)").alias("b")]
+    held = rows.select(F.explode("tokens").alias("token"), "hits", "misses", "key.*").groupBy("token")
+    sums = [F.count("*").alias("n"), F.sum(F.col("a").cast("decimal(38,0)")).alias("a"), F.expr("bit_xor(b)").alias("b"), F.sum("hits").alias("hits"), F.sum("misses").alias("misses")]
     total = rows.count()
-    sets = held.agg(*sums).filter(F.col("n") < total)
-    names = sets.groupBy("n", "a", "b").agg(F.min("token").alias("name"))
-    return sets.join(names, ["n", "a", "b"]).select("token", "name", "n")
+    return held.agg(*sums).filter(F.col("n") < total).groupBy("n", "a", "b", "hits", "misses").agg(F.min("token").alias("name")).select("name", "n", "hits", "misses")
+
+
+def _grown(paths: list[tuple[tuple[str, ...], int, int]], suffix: tuple[str, ...], least: int) -> Iterator[tuple[tuple[str, ...], int, int]]:
+    """(tokens, hits, misses) of the combinations that extend `suffix`, by FP-growth.
+
+    paths: (tokens, hits, misses) of the rows that hold the suffix, tokens in one order for all. With as many misses as
+    the suffix, a larger combination has no higher confidence than without the token, and so has all that holds it.
+    """
+    misses = sum(path[2] for path in paths)
+    counts: dict[str, list[int]] = {}
+    for tokens, hit, missed in paths:
+        for token in tokens:
+            count = counts.setdefault(token, [0, 0])
+            count[0] += hit
+            count[1] += missed
+    counts = {token: c for token, c in counts.items() if c[0] >= least and c[1] < misses}
+    if not counts:
+        return
+    # the FP-tree: nodes [token, parent, hits, misses], and the nodes of each token
+    nodes, below, heads = [["", 0, 0, 0]], {}, {token: [] for token in counts}
+    for tokens, hit, missed in paths:
+        at = 0
+        for token in tokens:
+            if token in counts:
+                child = below.get((at, token))
+                if child is None:
+                    child = below[at, token] = len(nodes)
+                    nodes.append([token, at, 0, 0])
+                    heads[token].append(child)
+                at = child
+                nodes[at][2] += hit
+                nodes[at][3] += missed
+    below.clear()
+    for token, (hit, missed) in counts.items():
+        grown = (*suffix, token)
+        yield grown, hit, missed
+        if missed:
+            inside = []
+            for node in heads[token]:
+                path, at = [], nodes[node][1]
+                while at:
+                    path.append(nodes[at][0])
+                    at = nodes[at][1]
+                inside.append((tuple(reversed(path)), nodes[node][2], nodes[node][3]))
+            yield from _grown(inside, grown, least)
+
+
+def _growth(least: int):
+    """applyInArrow over the rows of a token, (token, tokens before it, hits, misses): the combinations of the token with them."""
+
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        paths, known = [], {}
+        for batch in batches:
+            for tokens, hit, missed in zip(batch["before"], batch["hits"].to_pylist(), batch["misses"].to_pylist(), strict=True):
+                paths.append((tuple(known.setdefault(t, t) for t in tokens.as_py()), hit, missed))
+        sets = []
+        for tokens, hit, missed in _grown(paths, (key[0].as_py(),), least):
+            sets.append({"tokens": sorted(tokens), "n": hit + missed, "blocked": hit})
+            if len(sets) == _BATCH:
+                yield pa.RecordBatch.from_pylist(sets, _SETS)
+                sets = []
+        yield pa.RecordBatch.from_pylist(sets, _SETS)
+
+    return run
 
 
 def itemsets(labelled: DataFrame, least: int) -> DataFrame:
-    """(tokens, n long, blocked long): combinations of tokens that stand together in `least` blocked rows or more.
+    """(tokens, n long, blocked long): combinations of tokens that stand together in `least` blocked rows or more, all that can hold a minimal rule.
 
-    labelled: (tokens array<string>, blocked boolean). Of the tokens of the same rows only one is used; of a row's tokens the TOKENS most frequent.
+    labelled: (tokens array<string>, blocked boolean). Of the tokens of the same rows only one is used. With a combination all its parts are given.
+    Tokens that only blocked rows hold are rules by themselves or none, and part of no larger one.
     """
-    key = F.struct(F.xxhash64("tokens", "blocked").alias("a"), F.xxhash64(F.lit(1), "tokens", "blocked").alias("b")).alias("key")
-    rows = labelled.withColumn("key", key)
-    names = _merged(rows.dropDuplicates(["tokens", "blocked"]))
-    short = rows.dropDuplicates(["tokens", "blocked"]).select("key", "blocked", F.explode("tokens").alias("token")).join(names.filter("token = name"), "token")
-    short = short.groupBy("key", "blocked").agg(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("n"), F.col("token").alias("token")))), 1, TOKENS)["token"].alias("items"))
-    items = rows.select("key").join(short, "key").select(F.when(F.col("blocked"), F.concat("items", F.array(F.lit(_BLOCK)))).otherwise(F.col("items")).alias("items")).checkpoint()
-    n = items.count()
-    if not n:
-        return labelled.sparkSession.createDataFrame([], "tokens array<string>, n long, blocked long")
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, least / n)).fit(items).freqItemsets.checkpoint()  # computed anew at every use otherwise
-    plain = found.filter(~F.array_contains("items", _BLOCK)).select(F.array_sort("items").alias("tokens"), F.col("freq").alias("n"))
-    both = found.filter(F.array_contains("items", _BLOCK) & (F.size("items") > 1) & (F.col("freq") >= least))
-    return plain.join(both.select(F.array_sort(F.array_remove("items", _BLOCK)).alias("tokens"), F.col("freq").alias("blocked")), "tokens").checkpoint()
+    key = F.struct(F.xxhash64("tokens").alias("a"), F.xxhash64(F.lit(1), "tokens").alias("b")).alias("key")
+    hits = F.coalesce(F.col("blocked").cast("long"), F.lit(0))
+    rows = labelled.groupBy("tokens").agg(F.sum(hits).alias("hits"), F.sum(1 - hits).alias("misses")).withColumn("key", key)
+    names = _merged(rows).filter(F.col("hits") >= least).checkpoint()
+    single = names.select(F.array("name").alias("tokens"), (F.col("hits") + F.col("misses")).alias("n"), F.col("hits").alias("blocked"))
+    held = rows.select("key", "hits", "misses", F.explode("tokens").alias("name")).join(names.filter("misses > 0").select("name", "n"), "name")
+    held = held.groupBy("key", "hits", "misses").agg(F.sort_array(F.collect_list(F.struct(-F.col("n"), F.col("name").alias("name"))))["name"].alias("names"))
+    held = held.groupBy("names").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+    before = held.select("names", "hits", "misses", F.posexplode("names").alias("at", "token")).select("token", F.expr("slice(names, 1, at)").alias("before"), "hits", "misses")
+    before = before.groupBy("token", "before").agg(F.sum("hits").alias("hits"), F.sum("misses").alias("misses"))
+    return single.union(before.groupBy("token").applyInArrow(_growth(least), _SET)).checkpoint()
 
 
 def _smallest(sets: DataFrame) -> DataFrame:
