@@ -6,15 +6,15 @@ import hashlib
 import json
 import os
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import Any, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sievemill.config import Config, Finetuning, Service
-from sievemill.functions import json_text, text
+from sievemill.functions import batches, json_text, text
 from sievemill.operators import formatting, joins
 from sievemill.sources import files
 
@@ -78,11 +78,11 @@ def completions(prompts: DataFrame, provider: Provider, temperature: float, max_
     """Adds `response` to a table with `prompt`, with one provider a partition."""
     schema = prompts.schema.simpleString()[len("struct<") : -1]
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            yield p.assign(response=[complete(provider, x, temperature, max_tokens, service) for x in p["prompt"]])
+    def run(p: pa.RecordBatch) -> pa.RecordBatch:
+        got = [complete(provider, x, temperature, max_tokens, service) for x in p["prompt"].to_pylist()]
+        return pa.RecordBatch.from_arrays([*p.columns, pa.array(got, pa.string())], names=[*p.schema.names, "response"])
 
-    return prompts.mapInPandas(run, f"{schema}, response string")
+    return prompts.mapInArrow(batches.sliced(run), f"{schema}, response string")
 
 
 class BatchService(Protocol):

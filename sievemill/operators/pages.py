@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sievemill import schemas
 from sievemill.config import Scraping
-from sievemill.functions import html_dom, text
+from sievemill.functions import batches, html_dom, text
 from sievemill.operators.dedup import keep_first
 
 
 def page_links(pages: DataFrame, kind: str, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_url, page_ord, pos, href, text): links into /collections/ or /articles/, in document order."""
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            rows = [(u, o, k, h, t) for u, o, page in zip(p["url"], p["ord"], p["html"], strict=True) for k, (h, t) in enumerate(html_dom.links(html_dom.parse(page or ""), kind))]
-            yield pd.DataFrame(rows, columns=["page_url", "page_ord", "pos", "href", "text"])
+    def run(p: pa.RecordBatch) -> pa.RecordBatch:
+        columns = zip(*(p[c].to_pylist() for c in ("url", "ord", "html")), strict=True)
+        rows = [(u, o, k, h, t) for u, o, page in columns for k, (h, t) in enumerate(html_dom.links(html_dom.parse(page or ""), kind))]
+        types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.string()]
+        arrays = [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)]
+        return pa.RecordBatch.from_arrays(arrays, names=["page_url", "page_ord", "pos", "href", "text"])
 
-    return pages.select(F.col(url_col).alias("url"), "ord", F.col(html_col).alias("html")).mapInPandas(run, "page_url string, page_ord long, pos int, href string, text string")
+    return pages.select(F.col(url_col).alias("url"), "ord", F.col(html_col).alias("html")).mapInArrow(batches.sliced(run), "page_url string, page_ord long, pos int, href string, text string")
 
 
 def collections(pages: DataFrame, scraping: Scraping = Scraping()) -> DataFrame:
@@ -50,19 +51,21 @@ def articles(pages: DataFrame, scraping: Scraping = Scraping(), vendor_classes:
     """
     origin, site = scraping.origin, scraping.site_name
 
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            got = []
-            for r in p.itertuples(index=False):
-                try:
-                    got.append((json.dumps(html_dom.article(r.html, {"url": r.url, "title": r.title or ""}, origin, site, vendor_classes)), None))
-                except Exception as e:  # a page that cannot be read is reported, the others go on
-                    got.append((None, f"{type(e).__name__}: {e}"))
-            yield p.drop(columns=["html", "title"]).assign(doc=[d for d, _ in got], error=[e for _, e in got])
+    def run(p: pa.RecordBatch) -> pa.RecordBatch:
+        docs, errors = [], []
+        for html, url, title in zip(*(p[c].to_pylist() for c in ("html", "url", "title")), strict=True):
+            try:
+                docs.append(json.dumps(html_dom.article(html, {"url": url, "title": title or ""}, origin, site, vendor_classes)))
+                errors.append(None)
+            except Exception as e:  # a page that cannot be read is reported, the others go on
+                docs.append(None)
+                errors.append(f"{type(e).__name__}: {e}")
+        kept = ["id", "url", "collection", "collection_id", "ord"]
+        return pa.RecordBatch.from_arrays([*(p[c] for c in kept), pa.array(docs, pa.string()), pa.array(errors, pa.string())], names=[*kept, "doc", "error"])
 
     ids = "id string, url string, collection string, collection_id string, ord long"
     source = pages.filter("html is not null").select("id", "url", "title", "collection", "collection_id", "ord", "html")
-    read = source.mapInPandas(run, f"{ids}, doc string, error string")
+    read = source.mapInArrow(batches.sliced(run), f"{ids}, doc string, error string")
     parsed = read.withColumn("a", F.from_json("doc", schemas.ARTICLE_BODY))
     content = F.struct(F.col("a.content.raw_html"), text.clean_markdown("a.content.markdown").alias("markdown"), F.col("a.content.plain_text"), F.col("a.content.sections"))
     return parsed.select(F.col("id").alias("article_id"), "url", F.col("a.title"), F.col("a.description"), "collection", "collection_id", content.alias("content"), F.col("a.related_articles"), F.col("a.metadata"), "ord", "error")

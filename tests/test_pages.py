@@ -48,3 +48,23 @@ def test_sections_by_window_equal_the_walk(spark):
     blocks = [("d", i, t, x) for i, (t, x) in enumerate([("p", "before"), ("h1", "A"), ("p", "one"), ("li", "two"), ("h2", ""), ("p", "gone"), ("h3", "B")])]
     got = pages.sessionised_sections(spark.createDataFrame(blocks, "doc string, pos int, tag string, text string")).orderBy("section").collect()
     assert [(r.heading, r.level, r.content) for r in got] == [("A", 1, "one two"), ("B", 3, "")]
+
+
+def test_pages_are_read_in_small_slices(spark, monkeypatch):
+    """Python holds what it makes of a few pages, not of a whole batch; rows and their order stay."""
+    import pyarrow as pa
+
+    from sievemill.functions import batches
+
+    batch = pa.record_batch({"k": list(range(2500)), "html": ["x" * 3000] * 2499 + ["y" * 3_000_000]})
+    parts = list(batches.slices(batch))
+    assert [k for p in parts for k in p["k"].to_pylist()] == list(range(2500))
+    assert all(p.num_rows == 1 or p.num_rows <= batches.ROWS and p.nbytes <= batches.BYTES for p in parts) and len(parts) > 7
+    sent = []
+    steps = batches.sliced(lambda p: sent.append(p.num_rows) or p)(iter([batch]))
+    next(steps)
+    assert sum(sent) <= batches.ROWS  # the first slice is sent on before the next is taken
+    rows = [(str(i), "u", "", "C", "7", i, f"<h1>T{i}</h1>" if i % 7 else None) for i in range(2100)]
+    df = spark.createDataFrame(rows, "id string, url string, title string, collection string, collection_id string, ord long, html string").coalesce(1)
+    got = pages.articles(df).select("article_id", "title").collect()
+    assert [(r.article_id, r.title) for r in got] == [(str(i), f"T{i}") for i in range(2100) if i % 7]
